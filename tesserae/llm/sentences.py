@@ -29,11 +29,11 @@ THAI = "฀-๿"
 UNPUNCTUATED = f"{THAI}຀-໿ក-៿"  # scripts that part sentences by blanks
 CLOSERS = "\"'”’“»)\\]）」』】›"
 CANDIDATE = re.compile(
-    rf"(?:[{re.escape(TERMINAL)}]+(?:[   ]?»|[{CLOSERS}]|\[\d+\]|[¹²³⁰-⁹]+|\*+(?=\s|$))*)(?:(?=\s|$)|(?<=[…。！？｡।॥؟۔”」』）»])|(?=[“„«¿¡(「『]))"
+    rf"(?:[{re.escape(TERMINAL)}]+(?:[ \u00a0\u202f]?»|[{CLOSERS}]|\[\d+\]|[¹²³⁰-⁹]+|\*+(?=\s|$))*)(?:(?=\s|$)|(?<=[…。！？｡।॥؟۔”」』）»])|(?=[“„«¿¡(「『]))"
     rf"|(?<=[^\W\d_A-Z]{{2}})[.!?]+(?=[A-ZÀ-ÞА-Я“„«¿¡])|(?<=\d[.!?])(?=[A-ZÀ-ÞА-Я])"  # a blank left out
-    rf"|(?<=[{UNPUNCTUATED}])[   ]+(?=[^\s\d])|(?<=[^\s\d])[   ]+(?=[{UNPUNCTUATED}])"  # next to a digit it ends nothing
+    rf"|(?<=[{UNPUNCTUATED}])[ \u00a0\u202f\u3000]+(?=[^\s\d])|(?<=[^\s\d])[ \u00a0\u202f\u3000]+(?=[{UNPUNCTUATED}])"  # next to a digit it ends nothing
 )
-BLANK = re.compile(r"[ \t\r  　​﻿]*$")
+BLANK = re.compile(r"[ \t\r\u00a0\u202f\u3000\u200b\ufeff]*$")
 MARKER = re.compile(r"\s*(?:[-*•‣▪–—]\s|(\d{1,3})[.)]\s)")
 HEADING = re.compile(r"\s*#{1,6}\s")
 ROW = re.compile(r"\s*\|")
@@ -43,6 +43,7 @@ WORD_AFTER = re.compile(r"\s*(\S+)")
 OPENERS, SHUTTERS = "“„«「『(（", "”»」』)）"
 QUOTES, BRACKETS = tuple("\"'”’“»」』›"), tuple(")）]")
 DIGIT = re.compile(r"\d")
+BLANKS = " \u00a0\u202f\u3000"
 HASH = 1 << 18
 
 
@@ -119,7 +120,7 @@ def places(p: str) -> list[tuple[int, int, list[int]]]:
     for m in CANDIDATE.finditer(p):
         s, e = m.start(), m.end()
         mark = m.group(0)
-        blank = bool(mark) and mark[0] in "    "
+        blank = bool(mark) and mark[0] in BLANKS
         if blank:
             end, nxt = s, e
         else:
@@ -148,7 +149,7 @@ def places(p: str) -> list[tuple[int, int, list[int]]]:
         inner = "n" if before[-1:].isdigit() else "1" if len(before) == 1 else "." if "." in before else "U" if before[:1].isupper() else "w"
         if blank:
             inner = "digit" if (before[-1:].isdigit() or c.isdigit()) else "text"
-        core = mark.strip("   ")
+        core = mark.strip(BLANKS)
         end_kind = "blank" if blank else (core[:1] or ".") + ("..." if core.startswith("...") else "") + ("q" if core[-1:] in QUOTES else ")" if core[-1:] in BRACKETS else "")
         low = DIGIT.sub("9", before.lower().lstrip("([\"“„«'")[-12:])
         quote = f"{min(depth, 2)}{ascii_q}"
@@ -227,9 +228,9 @@ def split(text: str, tagger: Tagger) -> list[tuple[int, int]]:
     out = []
 
     def add(a: int, b: int) -> None:
-        while a < b and (text[a].isspace() or text[a] in "​﻿"):
+        while a < b and (text[a].isspace() or text[a] in "\u200b\ufeff"):
             a += 1
-        while b > a and (text[b - 1].isspace() or text[b - 1] in "​﻿"):
+        while b > a and (text[b - 1].isspace() or text[b - 1] in "\u200b\ufeff"):
             b -= 1
         if a < b:
             out.append((a, b))

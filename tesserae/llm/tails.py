@@ -27,7 +27,7 @@ DIGITS = re.compile(r"\d+")
 #: Patterns valid in Python and Java alike: markup and section markers, and words for a missing value.
 MARKUP = r"\[\[ ?##.*?## ?\]\]|</?[A-Za-z][^<>]*>|```\w*"
 MISSING = r"(?i)(none|null|nan|n ?a|na|nil|void|empty|blank|undefined|unknown|missing|no answer|not available|not applicable|tbd)"
-SPACES = "​﻿­"
+SPACES = "\u200b\ufeff\u00ad"
 ANSWER_RE = re.compile(
     r"(?:answer|result|ergebnis|antwort|résultat|réponse|resultado|respuesta|ответ|итак|答案|答え|उत्तर|الجواب|คำตอบ)\W*(?:is|lautet|est donc|est|es|это|是|は|هو|คือ)?\s*[*:：\s]*", re.I
 )
