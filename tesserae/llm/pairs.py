@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tesserae.llm import lang, tails
 
-TRAIN_ROWS = 2500  # natural rows, at most, that the classifier is fitted on
+TRAIN_ROWS = 1500  # natural rows, at most, that the classifier is fitted on
 HASH_BITS = 15
 RECALL = 0.997  # of held-out synthetic positives that a threshold must keep
 MARGIN = 1.5  # log-odds that thresholds are lowered by where an exact check follows
@@ -71,10 +71,10 @@ def is_void(text: str | None) -> bool:
 class Pair:
     """What one response and its question share; the values that features and exact checks are made of."""
 
-    __slots__ = ("answer", "cover", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
+    __slots__ = ("answer", "bags", "cover", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
 
     def __init__(self, question: str | None, text: str | None, intact: str | None, is_answer: bool, qcache: dict) -> None:
-        self.text, self.answer = text, is_answer
+        self.text, self.answer, self.bags = text, is_answer, None
         self.void = is_void(text)
         if self.void:
             return
@@ -136,7 +136,9 @@ class Pair:
         """Hashed 1- to 3-grams, names and numbers masked, of each of the last two sentences."""
         if self.void or self.same_end:
             return []
-        bags = []
+        if self.bags is not None:
+            return self.bags
+        self.bags = bags = []
         for s in [s for s in SENT.split(self.tail.strip()) if s.strip()][-2:]:
             head, _, rest = s.strip().partition(" ")
             w = WORD.findall((head + " " + NAME.sub("xx", rest)).lower())
@@ -171,19 +173,18 @@ class Model:
 
     def __init__(self) -> None:
         self.dense = np.zeros((len(DEFECTS), N_DENSE + 1), np.float64)
-        self.hashed = np.zeros((len(DEFECTS), 1 << HASH_BITS), np.float32)
+        self.hashed = np.zeros((1 << HASH_BITS, len(DEFECTS)), np.float32)
         self.threshold = np.zeros(len(DEFECTS))
 
-    def bag(self, bags: list[np.ndarray] | list[list[int]]) -> tuple[int, np.ndarray]:
-        """The sentence that looks most like a refusal, and what its n-grams add to each score."""
-        sums = [self.hashed[:, g].sum(axis=1) / np.sqrt(len(g)) for g in bags]
-        at = max(range(len(sums)), key=lambda i: sums[i][REFUSAL])
-        return at, sums[at]
+    def bag(self, bags: list[list[int]]) -> np.ndarray:
+        """What the n-grams of the sentence that looks most like a refusal add to each score."""
+        sums = [self.hashed[g].sum(axis=0) / np.sqrt(len(g)) for g in bags]
+        return max(sums, key=lambda x: x[REFUSAL])
 
     def scores(self, p: Pair) -> np.ndarray:
         z = self.dense[:, :N_DENSE] @ np.asarray(p.dense()) + self.dense[:, N_DENSE]
         bags = p.grams()
-        return z + self.bag(bags)[1] if bags else z
+        return z + self.bag(bags) if bags else z
 
     def defect(self, p: Pair) -> str | None:
         z = self.scores(p)
@@ -192,29 +193,45 @@ class Model:
                 return name
         return None
 
-    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 12, rate: float = 0.5, seed: int = 7) -> Model:
-        """Adagrad on the logistic loss, one row at a time over all labels; of a row's sentences the likeliest refusal counts."""
-        rng = random.Random(seed)
-        x = [np.asarray([*p.dense(), 1.0]) for p in pairs]
-        g = [[np.asarray(bag, np.int64) for bag in p.grams()] for p in pairs]
+    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 10, rate: float = 0.3, batch: int = 32, seed: int = 7) -> Model:
+        """Adagrad on the logistic loss in small batches over all labels. Of a row's sentences the one that looks most
+        like a refusal at the start of an epoch counts."""
+        rng = np.random.default_rng(seed)
+        n = len(pairs)
+        x = np.ones((n, N_DENSE + 1))
+        x[:, :N_DENSE] = [p.dense() for p in pairs]
+        bags = [(i, np.asarray(g, np.int64)) for i, p in enumerate(pairs) for g in p.grams()]
+        owner = np.asarray([i for i, _ in bags], np.int64)
+        sizes = np.asarray([len(g) for _, g in bags], np.int64)
+        flat = np.concatenate([g for _, g in bags]) if bags else np.empty(0, np.int64)
+        ends = np.cumsum(sizes)
         hd, hh = np.full_like(self.dense, 1e-3), np.full_like(self.hashed, 1e-3)
-        order = list(range(len(pairs)))
         for _ in range(epochs):
-            rng.shuffle(order)
-            for i in order:
-                z = self.dense @ x[i]
-                if g[i]:
-                    at, more = self.bag(g[i])
-                    z = z + more
-                err = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - labels[i]
-                grad = np.outer(err, x[i])
+            chosen = np.full(n, -1)
+            if len(bags):
+                looks = np.add.reduceat(self.hashed[flat, REFUSAL], ends - sizes) / np.sqrt(sizes)
+                order = np.lexsort((looks, owner))  # the last of each owner has its greatest
+                chosen[owner[order]] = order
+            for rows in np.array_split(rng.permutation(n), max(1, n // batch)):
+                own = chosen[rows]
+                at = np.flatnonzero(own >= 0)
+                k = own[at]
+                idx = np.concatenate([bags[j][1] for j in k]) if len(k) else np.empty(0, np.int64)
+                row = np.repeat(at, sizes[k])
+                scale = (1.0 / np.sqrt(np.repeat(sizes[k], sizes[k])))[:, None]
+                z = x[rows] @ self.dense.T
+                if len(idx):
+                    np.add.at(z, row, self.hashed[idx] * scale)
+                err = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - labels[rows]
+                grad = err.T @ x[rows]
                 hd += grad * grad
                 self.dense -= rate * grad / np.sqrt(hd)
-                if g[i]:
-                    idx = g[i][at]
-                    gh = (err / np.sqrt(len(idx)))[:, None]
-                    hh[:, idx] += gh * gh
-                    self.hashed[:, idx] -= rate * gh / np.sqrt(hh[:, idx])
+                if len(idx):
+                    touched, inv = np.unique(idx, return_inverse=True)
+                    g = np.zeros((len(touched), len(DEFECTS)))
+                    np.add.at(g, inv, err[row] * scale)
+                    hh[touched] += g * g
+                    self.hashed[touched] -= rate * g / np.sqrt(hh[touched])
         return self
 
     def calibrate(self, pairs: list[Pair], labels: np.ndarray) -> Model:
