@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from tesserae.llm import lang, tails
 
-TRAIN_ROWS = 1500  # natural rows, at most, that the classifier is fitted on
+TRAIN_ROWS = 2000  # natural rows, at most, that the classifier is fitted on
 HASH_BITS = 15
 RECALL = 0.997  # of held-out synthetic positives that a threshold must keep
-MARGIN = 1.5  # log-odds that thresholds are lowered by where an exact check follows
+MARGIN = 3.0  # log-odds that thresholds are lowered by where an exact check follows
 DEFECTS = ["empty", "copies_question", "refusal", "other_language", "truncated"]
 FIELDS = ["final_answer_sql", "llm_generated_reasoning_traces"]
 SCHEMA = "seq bigint, field string, defect string"
@@ -193,7 +193,7 @@ class Model:
                 return name
         return None
 
-    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 10, rate: float = 0.3, batch: int = 32, seed: int = 7) -> Model:
+    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 24, rate: float = 0.3, batch: int = 32, seed: int = 7) -> Model:
         """Adagrad on the logistic loss in small batches over all labels. Of a row's sentences the one that looks most
         like a refusal at the start of an epoch counts."""
         rng = np.random.default_rng(seed)
@@ -327,7 +327,7 @@ def train(sample: list[dict]) -> Model:
     y = np.asarray(labels, np.float64).reshape(len(labels), len(DEFECTS))
     test = np.arange(len(pairs)) % 5 == 0
     part = lambda m: [p for p, keep in zip(pairs, m, strict=True) if keep]
-    first = Model().fit(part(~test), y[~test], epochs=4)
+    first = Model().fit(part(~test), y[~test], epochs=8)
     # natural refusals among the negatives: what the first model is surest of is left out of the second fit
     sure = np.asarray([first.scores(p)[REFUSAL] > 2.5 and y[i].sum() == 0 for i, p in enumerate(pairs)], bool)
     keep = ~sure
