@@ -124,8 +124,8 @@ def validate_expansion(original: DataFrame, expanded: DataFrame, summaries: Data
     filled = F.when(F.lower(F.trim("text")).isin(NULLISH), None).otherwise(F.trim("text"))
     new = new.withColumn("v", filled)
     col = new.groupBy(key, "col_idx", "col_name").agg(F.count_distinct("v").alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"), F.array_sort(F.collect_list("v")).alias("vs")).where("n >= 2")
-    doubled = col.where("nulls = 0").groupBy(key, "vs").agg(F.count("*").alias("k")).where("k > 1").select(key).distinct().withColumn("doubled", F.lit(True))
-    repeated = expanded.select(key, "col_idx", "col_name").distinct().groupBy(key, "col_name").agg(F.count("*").alias("k")).where("k > 1").select(key).distinct().withColumn("repeated", F.lit(True))
+    doubled = col.where("nulls = 0").groupBy(key, "vs").agg(F.count("*").alias("_times")).where("_times > 1").select(key).distinct().withColumn("doubled", F.lit(True))
+    repeated = expanded.select(key, "col_idx", "col_name").distinct().groupBy(key, "col_name").agg(F.count("*").alias("_times")).where("_times > 1").select(key).distinct().withColumn("repeated", F.lit(True))
     low = F.lower("summary")
     parts = F.filter(F.transform(F.split(F.lower("v"), r"[,;)(]"), lambda x: F.trim(x)), lambda x: x != "")
     held = F.contains(low, F.lower("v")) | F.forall(parts, lambda x: F.contains(F.lower(F.col("summary")), x))

@@ -302,10 +302,11 @@ def to_base(values: DataFrame) -> DataFrame:
     ten = lambda p: F.pow(F.lit(10.0), p).cast("decimal(12,0)")
     up = ten(F.greatest(F.col("power") - F.col("decimals"), F.lit(0)))
     down = ten(F.greatest(F.col("decimals") - F.col("power"), F.lit(0)))
-    v = F.col("digits").cast("decimal(18,0)") * up
-    top = (v.cast("decimal(20,0)") * F.col("num").cast("decimal(16,0)")).cast("decimal(38,0)") + (F.col("off") * down).cast("decimal(32,0)")
+    v = (F.col("digits").try_cast("decimal(18,0)") * up).try_cast("decimal(20,0)")
+    top = (v * F.col("num").cast("decimal(16,0)")).try_cast("decimal(38,0)") + (F.col("off") * down).cast("decimal(32,0)")
     bottom = (F.col("den") * down).cast("decimal(30,0)")
-    half = F.expr("(2 * abs(_top) + _bottom) div (2 * _bottom)")
+    fits = F.abs(F.col("_top").cast("double")) < F.lit(9.0e18) * F.col("_bottom").cast("double")
+    half = F.when(fits, F.expr("(2 * abs(_top) + _bottom) div (2 * _bottom)"))
     return j.withColumn("_top", top).withColumn("_bottom", bottom).withColumn("base_value", (F.signum(F.col("_top")).cast("int") * half).cast("bigint")).drop("_top", "_bottom", "num", "off", "den")
 
 
@@ -313,6 +314,6 @@ def common_units(samples: DataFrame, key: str = "sample_id") -> DataFrame:
     """(key, row_idx, col_idx, base_value) of every measured value.
 
     Nulls, blanks and words for unknown give no row; so do texts without a unit anywhere. Repeated samples come out each;
-    an empty table gives none. A value that needs more than 18 digits is left out as unreadable.
+    an empty table gives none. A value of more than 18 digits, or one whose conversion exceeds a bigint, has no base_value and gives none.
     """
     return to_base(measured_values(samples, key)).where(F.col("base_value").isNotNull()).select(key, "row_idx", "col_idx", "base_value")
