@@ -325,6 +325,10 @@ def train(sample: list[dict]) -> Model:
         pairs.append(p)
         labels.append([int(k == kind) for k in range(len(DEFECTS))])
     y = np.asarray(labels, np.float64).reshape(len(labels), len(DEFECTS))
+    if len(pairs) < 10:  # nothing to learn from: the exact checks alone decide, and refusals aren't told
+        model = Model()
+        model.threshold[REFUSAL] = 1e9
+        return model
     test = np.arange(len(pairs)) % 5 == 0
     part = lambda m: [p for p, keep in zip(pairs, m, strict=True) if keep]
     first = Model().fit(part(~test), y[~test], epochs=8)
@@ -353,7 +357,7 @@ def broken_pairs(rows: DataFrame, intact: DataFrame | None = None, model: Model
     """One row (seq, field, defect) per defective field of every row.
 
     Nulls, empty and blank responses are 'empty'. A null question rules out copies_question and other_language. Rows
-    that are repeated are judged each. An empty table gives no rows. Extra columns aren't read.
+    that are repeated are judged each. An empty table gives no rows; of a table too small to learn from refusals aren't told. Extra columns aren't read.
     """
     model = model or fit_pairs(rows, intact)
     slim = with_intact(rows.select("seq", "sample_id", "question", *FIELDS), intact).select("seq", "question", "intact", *FIELDS)
