@@ -68,10 +68,21 @@ def is_void(text: str | None) -> bool:
     return not b or bool(MISSING.match(b))
 
 
+LABEL = re.compile(r"^[\w ]{1,25}: ")
+ENDS = re.compile(r"[\s…�.?!\"”“]+$")
+
+
+def begins_and_breaks_off(text: str, question: str) -> bool:
+    """Whether a text, its label aside, begins as the question does but is not the whole of it: a restated question that
+    was cut, while a copy in another order begins elsewhere."""
+    a, b = ENDS.sub("", LABEL.sub("", text.strip())).lower(), ENDS.sub("", question.strip()).lower()
+    return len(b) > 25 and a.startswith(b[:25]) and a != b
+
+
 class Pair:
     """What one response and its question share; the values that features and exact checks are made of."""
 
-    __slots__ = ("answer", "bags", "cover", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
+    __slots__ = ("answer", "bags", "cover", "cut_copy", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
 
     def __init__(self, question: str | None, text: str | None, intact: str | None, is_answer: bool, qcache: dict) -> None:
         self.text, self.answer, self.bags = text, is_answer, None
@@ -98,6 +109,7 @@ class Pair:
             self.cover = len(qset & set(mine)) / max(1, len(qset))
         else:
             self.inside = self.cover = 0.0
+        self.cut_copy = self.inside > 0.8 and begins_and_breaks_off(text, q)
         self.length = len(text)
         self.ratio = len(text) / max(1, qlen)
         self.tail = text[-tails.TAIL_CHARS :]
@@ -160,7 +172,7 @@ def exact(defect: str, p: Pair) -> bool:
     if p.void:
         return False
     if defect == "copies_question":
-        return not p.same_end and p.inside >= 0.9 and p.cover >= 0.6 and p.ratio > 0.55
+        return not p.same_end and p.inside >= 0.9 and p.cover >= 0.6 and p.ratio > 0.55 and not (p.cut_copy and p.state != "done")
     if defect == "refusal":
         return not p.same_end
     if defect == "other_language":

@@ -41,7 +41,11 @@ def echo(c: str, prompt: str | None) -> Column:
     foreign = F.size(F.array_except(w, F.concat(words(prompt), F.array(F.lit("")))))
     near = F.char_length(c) <= 3 * F.char_length(prompt) + 60
     whole = F.char_length(c) >= 0.75 * F.char_length(prompt)
-    return F.coalesce(F.when(near & whole, foreign <= F.size(w) * 0.08).otherwise(False), F.lit(False))
+    ends = r"[\s…�.?!\"”“]+$"
+    a = F.lower(F.regexp_replace(F.regexp_replace(F.trim(c), r"^[\w ]{1,25}: ", ""), ends, ""))
+    b = F.lower(F.regexp_replace(F.trim(prompt), ends, ""))
+    cut = a.startswith(F.substring(b, 1, 25)) & (a != b)  # begins as the prompt does, but isn't the whole of it
+    return F.coalesce(F.when(near & whole, (foreign <= F.size(w) * 0.08) & ~cut).otherwise(False), F.lit(False))
 
 
 def values(df: DataFrame, columns: Sequence[str], keep: Sequence[str], source: str, intact: str | None, prompt: str | None) -> DataFrame:
