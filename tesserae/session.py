@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "tesserae", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -46,3 +47,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Write the rows to the shared checkpoint folder, so that losing an executor never recomputes what lies before."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def thinned(df: DataFrame, key: str, limit: int, spare: int = 20) -> DataFrame:
+    """About spare * limit rows by the hash of their key, or all if there are no more: what a bounded sample is then
+    picked from, so that no task ever sorts a large table for it. The count reads no column."""
+    n = df.count()
+    if n <= spare * limit:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 30)) < int((1 << 30) * spare * limit / n))
