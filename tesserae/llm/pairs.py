@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.llm import lang, tails
+from tesserae.session import thinned
 
 TRAIN_ROWS = 2000  # natural rows, at most, that the classifier is fitted on
 HASH_BITS = 15
@@ -361,7 +362,7 @@ def with_intact(attempts: DataFrame, intact: DataFrame | None, key: str = "sampl
 def fit_pairs(rows: DataFrame, intact: DataFrame | None, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on the train_rows rows with the least hash of their key: a bounded sample that doesn't depend on file order."""
     cols = ["seq", "sample_id", "question", *FIELDS]
-    sample = rows.select(*cols).where(F.col("seq").isNotNull()).orderBy(F.xxhash64("seq"), "seq").limit(train_rows)
+    sample = thinned(rows, "seq", train_rows).select(*cols).where(F.col("seq").isNotNull()).orderBy(F.xxhash64("seq"), "seq").limit(train_rows)
     return train([r.asDict() for r in with_intact(sample, intact).orderBy("seq").collect()])
 
 

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.session import thinned
+
 TRAIN_DOCS = 4000  # documents, at most, whose list items the model is trained on
 TRAIN_ITEMS = 40  # items of one document, at most, that are used for training
 TRAIN_SEQUENCES = 10000
@@ -317,7 +319,7 @@ def synthesize(docs: list[list[str]], n: int = TRAIN_SEQUENCES, seed: int = 5) -
 
 def fit_tagger(docs: DataFrame, key: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS) -> Tagger:
     """Train on the list items of the train_docs documents with list items that have the least hash of their key."""
-    lists = docs.where(F.col(text).rlike(r"(?m)^\s*(?:[-*•]|\d{1,3}[.)])\s")).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    lists = thinned(docs, key, train_docs).where(F.col(text).rlike(r"(?m)^\s*(?:[-*•]|\d{1,3}[.)])\s")).select(F.col(key).alias("k"), F.col(text).alias("t"))
     picked = lists.orderBy(F.xxhash64("k"), "k").limit(train_docs)
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -64,6 +64,8 @@ def ranges(df: DataFrame, key: str, text: str, size: int = RANGE, halo: int = HA
 def sufficient_boundary(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
     """(key, boundary) of every text longer than limit: the first kind of boundary that leaves no stretch over limit.
 
+    A run of blanks that is longer than the halo and crosses the end of a range counts as it looks from within the halo.
+
     Null and shorter texts give no row; equal texts under other keys give one each; an empty table gives none.
     """
     kind = dict(df.dtypes)[key]
@@ -155,11 +157,14 @@ def piece_offsets(table: DataFrame, key: str, limit: int, overlap: int) -> DataF
                 begin, end = seg * SEGMENT, min(n, (seg + 1) * SEGMENT)
                 cuts = [(c["at"], c["level"]) for r in t for c in r["cuts"]]
                 first = begin if seg == 0 else begin - overlap
-                out += [(k, a, z, KINDS[v] if z < n else "end") for a, z, v in choose(cuts, first, end, limit, overlap)]
-            yield pd.DataFrame(out, columns=[key, "start", "end", "boundary"])
-
-    got = segs.mapInPandas(pick, f"{key} {kind}, start bigint, end bigint, boundary string")
-    return got.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("start")) - 1).alias("piece"), "start", "end", "boundary")
+                out.append((k, seg, [{"start": a, "end": z, "boundary": KINDS[v] if z < n else "end"} for a, z, v in choose(cuts, first, end, limit, overlap)]))
+            yield pd.DataFrame(out, columns=[key, "seg", "p"])
+
+    got = segs.mapInPandas(pick, f"{key} {kind}, seg int, p array<struct<start: bigint, end: bigint, boundary: string>>")
+    # pieces are numbered by the sum of the segments before, so a key's pieces never meet in one task, only its segments
+    before = F.coalesce(F.sum(F.size("p")).over(Window.partitionBy(key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    got = got.withColumn("_before", before).select(key, "_before", F.posexplode("p").alias("_i", "_p"))
+    return got.select(key, (F.col("_before") + F.col("_i")).cast("int").alias("piece"), "_p.start", "_p.end", "_p.boundary")
 
 
 def split_texts(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
