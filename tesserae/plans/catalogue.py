@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import chunk, text
 from tesserae.operators import adhoc, aggregates, cells, joins, retrieval, units, windows
-from tesserae.plans import context
+from tesserae.plans import context, generation
 from tesserae.session import table
 from tesserae.sources import html
 from tesserae.streaming import ingest
@@ -515,3 +515,49 @@ def below_avg_of_best_group(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     best = s.groupBy("s_nationkey").agg(F.avg("s_acctbal").alias("m")).agg(F.max("m").alias("m")).first()["m"]
     return s.where(F.col("s_acctbal") < F.lit(best)).select("s_suppkey", "s_acctbal")
+
+
+@query(r"""SELECT seq, trim(regexp_extract(t, '(?s)\[\[ ## question ## \]\]\s*(.*?)\s*(?:\[\[ ## |\z)', 1)) AS question, TRY_CAST(regexp_extract(t, '(?s)\[\[ ## rating ## \]\]\s*(.*?)\s*(?:\[\[ ## |\z)', 1) AS INTEGER) AS rating
+    FROM (SELECT seq, '[[ ## question ## ]]' || chr(10) || question || chr(10) || '[[ ## rating ## ]]' || chr(10) || question_quality.complexity_rating || chr(10) || '[[ ## completed ## ]]' AS t FROM qar_records WHERE question IS NOT NULL AND question_quality.complexity_rating IS NOT NULL)""")
+def reply_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Replies with one malformed marker each, read by section."""
+    q = table(spark, d, "qar_records").where("question is not null and question_quality.complexity_rating is not null")
+    t = F.concat(F.lit("[[## question ## ]]\n"), "question", F.lit("\n[[ ## rating ##]]\n"), F.col("question_quality.complexity_rating").cast("string"), F.lit("\n[[ ## completed ## ]]"))
+    return q.withColumn("_t", t).select("seq", F.trim(generation.section("_t", "question")).alias("question"), generation.section("_t", "rating", "int").alias("rating"))
+
+
+@query("SELECT q.seq, coalesce(w.new_columns[1], '(No condition column)') AS condition_col FROM qar_records q JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY table_id ORDER BY seq DESC) AS r FROM wiki_tables) WHERE r = 1) w USING (table_id)")
+def first_new_column(spark: SparkSession, d: str) -> DataFrame:
+    w = windows.last_wins(table(spark, d, "wiki_tables").select("table_id", "seq", "new_columns"), ["table_id"], ["seq"])
+    return table(spark, d, "qar_records").select("seq", "table_id").join(w.drop("seq"), "table_id").select("seq", F.coalesce(F.get("new_columns", F.lit(0)), F.lit("(No condition column)")).alias("condition_col"))
+
+
+@query("SELECT seq, string_split(table_metadata.section_title, ' / ')[-1] AS last_part FROM wiki_tables WHERE table_metadata.section_title IS NOT NULL")
+def section_last_part(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wiki_tables").where("table_metadata.section_title is not null").select("seq", text.last_path_part("table_metadata.section_title").alias("last_part"))
+
+
+@query("""SELECT basename, CASE WHEN contains(substr(page_text, 1, 10000), chr(10) || chr(10)) THEN string_split(substr(page_text, 1, 10000), chr(10) || chr(10))[1] ELSE substr(page_text, 1, 10000) END AS lead FROM articles""")
+def page_leads(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "articles").select("basename", text.must_keep("page_text").alias("lead"))
+
+
+@query("SELECT setting, attempt_no, count(*) AS n FROM (SELECT setting, attempt_no FROM attempts WHERE setting LIKE 'md%' UNION ALL SELECT setting, attempt_no FROM attempts WHERE setting LIKE 'ctx%') GROUP BY ALL")
+def union_of_settings(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "attempts").select("setting", "attempt_no")
+    return a.where("setting like 'md%'").unionByName(a.where("setting like 'ctx%'")).groupBy("setting", "attempt_no").agg(F.count("*").alias("n"))
+
+
+@query()
+def shuffled_titles(spark: SparkSession, d: str) -> DataFrame:
+    return generation.shuffled(table(spark, d, "wiki_tables").select(F.col("page_metadata.page_title").alias("title")).distinct(), "title")
+
+
+@query()
+def table_answers(spark: SparkSession, d: str) -> DataFrame:
+    return cells.simplified(cells.from_markdown(table(spark, d, "merged_samples").where("final_answer_sql like '|%'"), "sample_id", "final_answer_sql"), "sample_id")
+
+
+@query()
+def article_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wiki_tables").select("seq", html.markdown_of("original_table_html").alias("markdown"))

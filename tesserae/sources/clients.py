@@ -95,3 +95,42 @@ def fetch_missing(keys: DataFrame, cache: DataFrame, key: str, make: Callable[[]
             yield pd.DataFrame([x for x in got if x[1]], columns=[key, "text"])
 
     return new.mapInPandas(run, f"{key} {kind}, text string")
+
+
+class ListingClient(Protocol):
+    def page(self, category: str, token: str | None) -> tuple[list[str], str | None]: ...
+
+
+def category_titles(categories: DataFrame, make: Callable[[], ListingClient], prefix: str, most_pages: int = 10_000) -> DataFrame:
+    """(category, pos, title): a category's members with the prefix, page after page, each once in order of appearance."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make()
+        for b in batches:
+            out = []
+            for c in b["category"].tolist():
+                token, seen = None, {}
+                for _ in range(most_pages):
+                    got, token = client.page(c, token)
+                    for t in got:
+                        if t.startswith(prefix):
+                            seen.setdefault(t, len(seen))
+                    if token is None:
+                        break
+                out += [(c, i, t) for t, i in seen.items()]
+            yield pd.DataFrame(out, columns=["category", "pos", "title"])
+
+    return categories.select("category").distinct().mapInPandas(run, "category string, pos int, title string")
+
+
+def search_missing(questions: DataFrame, cache: DataFrame, make: Callable[[], list[SearchClient]], count: int = 10) -> DataFrame:
+    """(question, urls) of questions that the cache lacks, each searched once; empty results aren't kept."""
+    new = questions.select("question").where("question is not null").distinct().join(cache.select("question"), "question", "left_anti")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        providers = make()
+        for b in batches:
+            got = [(q, first_provider(providers, q, count)) for q in b["question"].tolist()]
+            yield pd.DataFrame([x for x in got if x[1]], columns=["question", "urls"])
+
+    return new.mapInPandas(run, "question string, urls array<string>")

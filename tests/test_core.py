@@ -1,7 +1,9 @@
 import random
 import sqlite3
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tesserae.functions import chunk, text
@@ -9,6 +11,8 @@ from tesserae.operators import adhoc, aggregates, cells, joins, retrieval, windo
 from tesserae.plans import context
 from tesserae.sources import clients, files, html
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def test_budget_prefix_is_the_loop(spark):
     rng = random.Random(3)
@@ -244,3 +248,42 @@ def test_catalogue_runs(spark, name):
     from tesserae.plans.catalogue import queries
 
     assert queries()[name](spark, d).count() > 0
+
+
+class Echo:
+    """Replies with the sections that a prompt wants; attempt 2 answers right."""
+
+    def complete(self, messages):
+        m = messages[-1]["content"]
+        if "fail" in m:
+            return None
+        right = "[[ ## attempt_no ## ]]\n2" in m
+        return f"[[ ## reasoning ## ]]\nbecause\n[[## answer ##]]\n{'1,000' if right else 'x'}\n[[ ## table ## ]]\n<table><tr><td>1</td></tr></table>\n[[ ## complexity_rating ## ]]\nfour\n[[ ## completed ## ]]"
+
+
+def test_generation_stages(spark):
+    from tesserae.plans import generation
+
+    s = spark.createDataFrame([(1, "ctx", "q?", "1000"), (2, "ctx", "fail", "y")], "sample_id int, context string, question string, final_answer_sql string")
+    got = {(r.sample_id, r.setting, r.attempt_no): r.answer_comparison for r in generation.sample_attempts(s, "sample_id", ["low", "high"], 3, Echo).collect()}
+    assert len(got) == 12 and {k for k, v in got.items() if v} == {(1, "low", 2), (1, "high", 2)}
+    assert [(r.sample_id, r.reasoning_traces) for r in generation.generate_traces(s, "sample_id", Echo).collect()] == [(1, "because")]
+    t = spark.createDataFrame([("a", "h"), ("b", "h")], "table_id string, html string")
+    summ = spark.createDataFrame([("a", 0, "T", "good"), ("b", 0, "T", "fail")], "table_id string, row_idx int, title string, summary string")
+    assert {r.table_id: r.expanded_table_html[:6] for r in generation.expand_tables(t, summ, Echo).collect()} == {"a": "<table", "b": ""}
+    trials = generation.question_trials(spark.createDataFrame([("a", "|x|")], "table_id string, df string"), Echo)
+    assert trials.count() == 3 and trials.where(generation.passes_gate()).count() == 0
+
+
+class Listing:
+    def page(self, category, token):
+        pages = {None: (["R/1", "other", "R/2"], "n"), "n": (["R/2", "R/3"], None)}
+        return pages[token]
+
+
+def test_listing_and_search(spark):
+    got = clients.category_titles(spark.createDataFrame([("c",), ("c",)], "category string"), Listing, "R/").orderBy("pos").collect()
+    assert [(r.pos, r.title) for r in got] == [(0, "R/1"), (1, "R/2"), (2, "R/3")]
+    q = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "question string")
+    cache = spark.createDataFrame([("b", ["u"])], "question string, urls array<string>")
+    assert [(r.question, len(r.urls)) for r in clients.search_missing(q, cache, lambda: [clients.StubSearch()], 2).collect()] == [("a", 2)]
