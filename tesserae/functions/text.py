@@ -9,6 +9,14 @@ ColumnOrName = Column | str
 
 # Words that a question may not contain, in the order they are looked for.
 AVOID_KEYWORDS = ["list", "table", "column", "row", "field", "section", "caption", "metadata", "dataframe", "markdown", "html", "json", "sql", "python", "this"]
+# Words without weight in a search, of the languages that questions are asked in.
+STOPWORDS = (
+    "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with "
+    "from had has have he her his how its many name named near one some were what when where which while who within "
+    "der die das den dem des ein eine und im am an auf aus bei für mit nach von vor wie wurde zu "
+    "le la les de du des un une et à au aux en dans par pour que qui sur fut "
+    "el los las del al y con por para que se una un en su fue"
+).split()
 # Link prefixes that lead to no article.
 NON_ARTICLE = ["/wiki/Special:", "/wiki/Help:", "/wiki/Wikipedia:", "/wiki/Talk:", "/wiki/File:", "/wiki/Category:", "/wiki/Portal:", "/wiki/Template:"]
 # Words for a missing cell.

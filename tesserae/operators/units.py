@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.session import spread
+
 # Canonical unit of each dimension.
 CANONICAL = {"length": "cm", "area": "m2", "mass": "g", "time": "s", "speed": "m/h", "volume": "L", "temperature": "mdegC"}
 # Names of units as sources write them.
@@ -292,7 +294,7 @@ def measured_values(samples: DataFrame, key: str = "sample_id") -> DataFrame:
                     out.append((k, -1, -1, str(v[0]), v[1], v[2], v[3]))
             yield pd.DataFrame(out, columns=[key, "row_idx", "col_idx", "digits", "decimals", "power", "unit"])
 
-    return slim.mapInPandas(read, f"{key} {kind}, row_idx int, col_idx int, digits string, decimals int, power int, unit string")
+    return spread(slim).mapInPandas(read, f"{key} {kind}, row_idx int, col_idx int, digits string, decimals int, power int, unit string")
 
 
 def to_base(values: DataFrame) -> DataFrame:

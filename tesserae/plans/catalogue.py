@@ -45,10 +45,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 # Retrieval
 
 _TOK = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(text.STOPWORDS))
 _BM25 = f"""
     t AS (SELECT doc_id AS chunk_id, {_TOK.format("text")} AS w FROM documents WHERE text IS NOT NULL),
     s AS (SELECT count(*) AS n, avg(len(w)) AS a FROM t),
-    q AS (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("item_text")}) AS term FROM test_items),
+    q AS (SELECT * FROM (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("item_text")}) AS term FROM test_items) WHERE term NOT IN ({_STOP})),
     tf AS (SELECT chunk_id, len(w) AS n_tokens, term, count(*) AS tf FROM (SELECT chunk_id, w, unnest(w) AS term FROM t) GROUP BY ALL),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
     sc AS (SELECT query_id, chunk_id, n_tokens, round(sum(ln((n + 1) / df) * (1.5 + tf * 2.5 / (1.5 * (0.25 + 0.75 * n_tokens / a) + tf))), 6) AS score
@@ -58,7 +59,7 @@ _BM25 = f"""
 
 def _scores(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    return retrieval.bm25(docs, table(spark, d, "test_items").select(F.col("item_id").alias("query_id"), F.col("item_text").alias("text")))
+    return retrieval.bm25(docs, table(spark, d, "test_items").select(F.col("item_id").alias("query_id"), F.col("item_text").alias("text")), stopwords=text.STOPWORDS)
 
 
 @query(f"WITH {_BM25} SELECT query_id, rank, chunk_id, round(score, 2) AS score FROM r WHERE rank <= 10")

@@ -56,3 +56,13 @@ def thinned(df: DataFrame, key: str, limit: int, spare: int = 20) -> DataFrame:
     if n <= spare * limit:
         return df
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 30)) < int((1 << 30) * spare * limit / n))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where a table has so few splits that Python work on it would leave cores idle.
+
+    Only for plans without a shuffle: their number of partitions is known without running anything. A large table has
+    more splits than cores and is passed on as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

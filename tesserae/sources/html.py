@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.session import spread
+
 VOID = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 CLOSES = {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "li": {"li"}, "p": {"p"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "thead": {"tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 BARRIERS = {"table", "ul", "ol", "body", "html", "div"}
@@ -203,7 +205,7 @@ def cells(df: DataFrame, key: str, html: str) -> DataFrame:
                     out += [(k, i, j, names[j], t, u) for i, r in enumerate(body) for j, (t, u) in enumerate(r)]
             yield pd.DataFrame(out, columns=[key, "row_idx", "col_idx", "col_name", "text", "href"])
 
-    return df.where(F.col(html).isNotNull()).select(key, html).mapInPandas(run, f"{key} {kind}, {CELLS}")
+    return spread(df.where(F.col(html).isNotNull()).select(key, html)).mapInPandas(run, f"{key} {kind}, {CELLS}")
 
 
 def heading_path(node: Node) -> str | None:
@@ -310,7 +312,7 @@ def infoboxes(df: DataFrame, key: str, html: str, lose_last: bool = True) -> Dat
                     out += [(k, *x) for x in infobox_rows(box, lose_last)]
             yield pd.DataFrame(out, columns=[key, "section", "item_idx", "label", "value"])
 
-    return df.where(F.col(html).isNotNull()).select(key, html).mapInPandas(run, f"{key} {kind}, section string, item_idx int, label string, value string")
+    return spread(df.where(F.col(html).isNotNull()).select(key, html)).mapInPandas(run, f"{key} {kind}, section string, item_idx int, label string, value string")
 
 
 BLOCKS = {"p", "div", "section", "article", "ul", "ol", "table", "tr", "blockquote", "pre", "main", "figure"}
