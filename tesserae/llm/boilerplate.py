@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.session import spread
+
 PRIOR = 3.0  # weight of the vote over all hosts against a host's own votes
 TITLES = 5  # a short line that so many different texts follow is no title
 KNOWN = 0.34  # share of a line's sentences that must be known prose
@@ -153,7 +155,7 @@ def scored(pages: DataFrame) -> DataFrame:
                 out += [(place, item, host, *c) for c in containers(text, title)]
             yield pd.DataFrame(out, columns=["place", "item_key", "host", "line_no", "kind", "path", "keys", "score", "next", "certain"])
 
-    return pages.where(F.col("text").isNotNull()).mapInPandas(run, SCHEMA)
+    return spread(pages.where(F.col("text").isNotNull())).mapInPandas(run, SCHEMA)
 
 
 def prose_keys(lines: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.session import spread
+
 RUN = 12
 SHINGLE = 5
 BROADCAST_ROWS = 200_000  # item signatures, at most, that are sent to every task; beyond, signatures are joined
@@ -100,7 +102,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     spark = docs.sparkSession
     it = items.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), F.col(item_text).alias("item_text"))
     size = it.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.char_length("item_text")), F.lit(0)).alias("c")).first()
-    d = parts(docs, key, text)
+    d = spread(parts(docs, key, text))
     kind = dict(items.dtypes)[item]
     key_kind = dict(docs.dtypes)[key]
     if size["n"] <= BROADCAST_ROWS and size["c"] <= BROADCAST_CHARS:

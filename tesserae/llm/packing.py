@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tesserae.session import cut_lineage
+from tesserae.session import cut_lineage, spread
 
 CAPACITY = 2048
 SIZES = (512, 1024, 2048)  # permitted container lengths; the greatest is the capacity
@@ -52,7 +52,7 @@ def token_counts(docs: DataFrame, key: str, text: str, path: str = TOKENIZER, pa
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b["t"].tolist()]
             yield pd.DataFrame({key: b[key], "n_tokens": n})
 
-    return docs.select(key, F.col(text).alias("t")).mapInPandas(count, f"{key} {kind}, n_tokens int")
+    return spread(docs.select(key, F.col(text).alias("t"))).mapInPandas(count, f"{key} {kind}, n_tokens int")
 
 
 def fill(counts: dict[int, int], sizes: list[int], room: int, first: int) -> tuple[list[int], int]:

@@ -19,12 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.session import thinned
+from tesserae.session import spread, thinned
 
 TRAIN_DOCS = 4000  # documents, at most, whose list items the model is trained on
 TRAIN_ITEMS = 40  # items of one document, at most, that are used for training
-TRAIN_SEQUENCES = 10000
-EPOCHS = 6
+TRAIN_SEQUENCES = 6000
+EPOCHS = 5
 
 TERMINAL = ".!?…。！？｡।॥؟۔։።"
 THAI = "฀-๿"
@@ -352,4 +352,4 @@ def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", tagger:
                 out += [(k, a, z) for a, z in split(s, t)]
             yield pd.DataFrame(out, columns=[key, "start_pos", "end_pos"])
 
-    return docs.where(F.col(text).isNotNull()).select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, start_pos int, end_pos int")
+    return spread(docs.where(F.col(text).isNotNull()).select(key, text)).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, start_pos int, end_pos int")
