@@ -82,7 +82,7 @@ def truthy(text: ColumnOrName) -> Column:
 
 def word_count(text: ColumnOrName) -> Column:
     """Tokens of the default tokenizer: runs without white space."""
-    return F.size(F.regexp_extract_all(F.coalesce(c(text), F.lit("")), F.lit(r"(\S+)"), F.lit(1)))
+    return F.size(F.array_remove(F.split(F.coalesce(c(text), F.lit("")), r"\s+"), ""))
 
 
 def clean_steps(trace: ColumnOrName) -> Column:

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K1, B, DELTA = 1.5, 0.75, 1.5
-TOKEN = r"([\p{L}\p{N}_]{2,})"
+BETWEEN = r"[^\p{L}\p{N}_]+"  # what stands between tokens; splitting is linear, extracting all matches copies the text for each
 
 
 def tokens(text: str | Column) -> Column:
-    return F.regexp_extract_all(F.lower(text if isinstance(text, Column) else F.col(text)), F.lit(TOKEN), F.lit(1))
+    """Runs of at least two letters, digits or underscores, in lower case."""
+    return F.filter(F.split(F.lower(text if isinstance(text, Column) else F.col(text)), BETWEEN), lambda x: F.char_length(x) >= 2)
 
 
 def bm25(chunks: DataFrame, queries: DataFrame, corpus: str | None = None, k1: float = K1, b: float = B, delta: float = DELTA, stopwords: list[str] | None = None) -> DataFrame:

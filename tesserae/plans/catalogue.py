@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import chunk, text
 from tesserae.operators import adhoc, aggregates, cells, joins, retrieval, units, windows
 from tesserae.plans import context, generation
-from tesserae.session import table
+from tesserae.session import spread, table
 from tesserae.sources import html
 from tesserae.streaming import ingest
 
@@ -58,7 +58,7 @@ _BM25 = f"""
 
 
 def _scores(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
+    docs = spread(table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text"))
     return retrieval.bm25(docs, table(spark, d, "test_items").select(F.col("item_id").alias("query_id"), F.col("item_text").alias("text")), stopwords=text.STOPWORDS)
 
 
@@ -85,7 +85,7 @@ def bm25_budget_context(spark: SparkSession, d: str) -> DataFrame:
     r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, i) AS rank FROM sc)
     SELECT sample_id, rank, i AS chunk_order FROM (SELECT *, sum(n_tokens) OVER (PARTITION BY sample_id ORDER BY rank) AS running FROM r) WHERE running <= 300""")
 def bm25_per_question(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "merged_samples").select("sample_id", "question", "context")
+    m = spread(table(spark, d, "merged_samples").select("sample_id", "question", "context"))
     c = m.select(F.col("sample_id").alias("corpus"), F.posexplode(F.split("context", "\n\n")).alias("chunk_id", "text"))
     s = retrieval.bm25(c, m.select(F.col("sample_id").alias("query_id"), F.col("question").alias("text")), "corpus")
     return retrieval.within_budget(s, 300).select(F.col("query_id").alias("sample_id"), "rank", F.col("chunk_id").alias("chunk_order"))
@@ -93,7 +93,7 @@ def bm25_per_question(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def context_compaction(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "merged_samples").select("sample_id", "question", "context")
+    m = spread(table(spark, d, "merged_samples").select("sample_id", "question", "context"))
     c = m.where("context is not null").select(F.col("sample_id").alias("query_id"), F.posexplode(F.split("context", "==========\n")).alias("doc_order", "t"))
     c = c.select("query_id", "doc_order", F.posexplode(chunk.chunks("t", chunk.markdown_chunks, 64)).alias("chunk_order", "text"))
     return retrieval.compact(c, m.select(F.col("sample_id").alias("query_id"), F.col("question").alias("text")), 400)
