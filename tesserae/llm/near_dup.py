@@ -25,7 +25,7 @@ BUCKET_ROWS = 2000  # rows of a bucket that one group holds; a larger bucket bec
 
 def word_set(text: str) -> Column:
     """Distinct words: maximal runs of letters or digits, in lower case."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
+    return F.array_remove(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")), "")
 
 
 def classes(df: DataFrame, key: str, text: str) -> DataFrame:
