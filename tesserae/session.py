@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,8 +62,11 @@ def thinned(df: DataFrame, key: str, limit: int, spare: int = 20) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores, where a table has so few splits that Python work on it would leave cores idle.
 
-    Only for plans without a shuffle: their number of partitions is known without running anything. A large table has
-    more splits than cores and is passed on as it is.
+    A plan with a shuffle is passed on as it is: asking for its number of partitions would run it. So is a large table,
+    which has more splits than cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    plan = df._jdf.queryExecution()
+    if re.search(r"\b(?:Join|Aggregate|Window|Sort|Repartition\w*|RebalancePartitions|Deduplicate|Intersect|Except)\b", plan.optimizedPlan().toString()):
+        return df
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
