@@ -162,7 +162,7 @@ def similar_pairs(df: DataFrame, key: str = "seq", text: str = "question", thres
     return across.unionByName(copies)
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, comp): connected components of (u, v) by alternating large-star and small-star; comp is the least node."""
     e = cut_lineage(edges.select("u", "v").where("u <> v").distinct())
     for _ in range(rounds):
@@ -177,6 +177,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         e = nxt
         if same:
             break
+    else:
+        raise RuntimeError(f"components didn't settle in {rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
