@@ -41,28 +41,31 @@ DOCUMENT = re.compile(r"^\*\*Document \d+\*\*:\s*$")
 
 
 def crc(s: str) -> int:
-    return (zlib.crc32(s.encode()) << 31) ^ zlib.adler32(s.encode())
+    b = s.encode()
+    return (zlib.crc32(b) << 31) ^ zlib.adler32(b)
 
 
 def sentence_key(s: str) -> int:
     """What is left of a sentence without names, numbers and its first word: its template."""
-    s = DIGITS.sub("9", s.strip().rstrip(".!?…。！？।؟\"”’“»)] "))
-    if WIDE.search(s):
-        return crc(s[-4:])
+    s = s.strip().rstrip(".!?…。！？।؟\"”’“»)] ")
+    if not s.isascii() and WIDE.search(s):
+        return crc(DIGITS.sub("9", s)[-4:])
     w = s.split()
-    m = [NAME.sub("N", x) for x in w[1:]]
-    return crc(" ".join([*m[:3], "~", *m[-1:]]) if len(w) > 1 else s.lower())
+    if len(w) < 2:
+        return crc(DIGITS.sub("9", s).lower())
+    return crc(NAME.sub("N", DIGITS.sub("9", " ".join((*w[1:4], "~", w[-1])))))
 
 
 def kind_of(line: str) -> tuple[str, str]:
     """(kind, the text without its marker)."""
-    if SEPARATOR.match(line):
+    first = line[0]
+    if first in "=*" and SEPARATOR.match(line):
         return "sep", line
-    if HEADING.match(line):
+    if first in "#*" and HEADING.match(line):
         return "heading", line
-    if line.startswith("|") and line.endswith("|") and len(line) > 1:
+    if first == "|" and line.endswith("|") and len(line) > 1:
         return "table", line
-    if LINK.match(line):
+    if first in "[-*•" and LINK.match(line):
         return "link", line
     if ATTRIBUTED.match(line):
         return "attributed", line
@@ -86,7 +89,8 @@ def containers(text: str, title: str | None) -> list[tuple[int, str, int, list[i
     lines = [x.strip() for x in text.replace(" ", " ").split("\n")]
     kinds = [kind_of(x) if x else ("", "") for x in lines]
     n = len(lines)
-    prose = [k == "line" and len(t) >= PROSE_CHARS and len(SENT.split(t)) >= PROSE_SENTENCES for k, t in kinds]
+    parts = [[s for s in SENT.split(t) if s and s.strip()] if k in ("line", "item") else [] for k, t in kinds]
+    prose = [k == "line" and len(t) >= PROSE_CHARS and len(p) >= PROSE_SENTENCES for (k, t), p in zip(kinds, parts, strict=True)]
     following, last = [0] * n, 0
     ahead, more = [False] * n, False  # whether certain prose follows in the same document
     for i in range(n - 1, -1, -1):
@@ -117,11 +121,11 @@ def containers(text: str, title: str | None) -> list[tuple[int, str, int, list[i
                 continue
             if prose[i]:
                 passed = True
-                out.append((i + 1, kind, crc("prose"), [sentence_key(s) for s in SENT.split(t) if s and s.strip()], 1.0, 0, True))
+                out.append((i + 1, kind, crc("prose"), [sentence_key(s) for s in parts[i]], 1.0, 0, True))
                 continue
             keys: list[int] = []
             if kind in ("line", "item"):
-                keys = [sentence_key(s) for s in SENT.split(t) if s and s.strip()]
+                keys = [sentence_key(s) for s in parts[i]]
                 score = -0.5 if poor else 0.4 if passed and ahead[i] else -0.2  # at a page's edge prose is as likely as furniture
                 if kind == "item" and not poor:
                     score = 0.6
