@@ -146,13 +146,15 @@ class Pair:
         ]
 
     def grams(self) -> list[list[int]]:
-        """Hashed 1- to 3-grams, names and numbers masked, of each of the last two sentences."""
+        """Hashed 1- to 3-grams, names and numbers masked, of each sentence of the whole response."""
         if self.void or self.same_end:
             return []
         if self.bags is not None:
             return self.bags
         self.bags = bags = []
-        for s in [s for s in SENT.split(self.tail.strip()) if s.strip()][-2:]:
+        for s in SENT.split(self.text.strip()):
+            if not s.strip():
+                continue
             head, _, rest = s.strip().partition(" ")
             w = WORD.findall((head + " " + NAME.sub("xx", rest)).lower())
             w = ["9" if x.isdigit() else x for x in w]
@@ -190,9 +192,8 @@ class Model:
         self.threshold = np.zeros(len(DEFECTS))
 
     def bag(self, bags: list[list[int]]) -> np.ndarray:
-        """What the n-grams of the sentence that looks most like a refusal add to each score."""
-        sums = [self.hashed[g].sum(axis=0) / np.sqrt(len(g)) for g in bags]
-        return max(sums, key=lambda x: x[REFUSAL])
+        """What the n-grams of the sentence that looks most like a defect add to the score of that defect."""
+        return np.max([self.hashed[g].sum(axis=0) / np.sqrt(len(g)) for g in bags], axis=0)
 
     def scores(self, p: Pair) -> np.ndarray:
         z = self.dense[:, :N_DENSE] @ np.asarray(p.dense()) + self.dense[:, N_DENSE]
@@ -270,7 +271,7 @@ class Model:
 
 def synthesize(rows: list[dict], seed: int = 11) -> tuple[list[tuple[str | None, str | None, str | None, bool]], list[int]]:
     """(question, response, intact answer, is an answer) and the index of the label, -1 for none."""
-    rng = random.Random(seed)
+    rng, place = random.Random(seed), random.Random(seed + 1)
     out: list[tuple[str | None, str | None, str | None, bool]] = []
     labels: list[int] = []
     by_lang: dict[str, list[dict]] = {}
@@ -310,6 +311,8 @@ def synthesize(rows: list[dict], seed: int = 11) -> tuple[list[tuple[str | None,
             lines = [x for x in SENT.split(trace) if x.strip()]
             if rng.random() < 0.4 and len(lines) > 2:
                 said = rng.choice([" ", "\n\n"]).join([*lines[: rng.randint(1, len(lines) - 1)], said])
+            elif len(lines) > 2 and place.random() < 0.5:  # declined at the start, then explained
+                said = place.choice([" ", "\n\n"]).join([said, *lines[: place.randint(1, len(lines) - 1)]])
             out.append((q, said, whole, rng.random() < 0.4)), labels.append(2)
         if rng.random() < 0.4:
             other = [x for x in langs if x and x != r["ql"] and by_lang[x]]

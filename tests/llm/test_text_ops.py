@@ -279,6 +279,17 @@ def test_broken_pairs_on_rows(spark):
     assert pairs.broken_pairs(df.limit(0), gold).count() == 0
 
 
+def test_refusal_counts_wherever_it_stands():
+    model = pairs.train(held_out())
+    q = "Which of the mills near Marnevan was built by Teltimen and sold to the Borlazar estate?"
+    said = "I'm sorry, but I cannot answer this question."
+    why = [f"Document {i} describes the mill at Kesropen and its {i} gates in some detail, and the next one lists its owners." for i in range(2, 7)]
+    for t in (" ".join([said, *why]), "\n".join([why[0], said, *why[1:]])):
+        assert model.defect(pairs.Pair(q, t, "Dolnevan", False, {})) == "refusal"
+    assert model.defect(pairs.Pair(q, " ".join([said, *why, "Final answer: Dolnevan"]), "Dolnevan", False, {})) is None
+    assert model.defect(pairs.Pair(q, " ".join(why), "Dolnevan", False, {})) is None
+
+
 # --- boilerplate
 
 
