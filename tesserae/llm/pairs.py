@@ -74,10 +74,10 @@ ENDS = re.compile(r"[\s…�.?!\"”“]+$")
 
 
 def begins_and_breaks_off(text: str, question: str) -> bool:
-    """Whether a text, its label aside, begins as the question does but is not the whole of it: a restated question that
-    was cut, while a copy in another order begins elsewhere."""
+    """Whether a text, its label aside, begins as the question does but does not end with the whole of it: a restated
+    question that was cut, while a copy in another order begins elsewhere."""
     a, b = ENDS.sub("", LABEL.sub("", text.strip())).lower(), ENDS.sub("", question.strip()).lower()
-    return len(b) > 25 and a.startswith(b[:25]) and a != b
+    return len(b) > 25 and a.startswith(b[:25]) and not a.endswith(b)
 
 
 class Pair:
@@ -100,9 +100,7 @@ class Pair:
         whole = (intact or "").strip()
         stripped = text.strip()
         self.same_end = bool(whole) and (stripped == whole or (not is_answer and (stripped.endswith(whole) or stripped.rstrip(".。 ").endswith(whole.rstrip(". ")))))
-        # words: all of a short text; of a long one enough to tell that it isn't made of the question's words
-        long = len(text) > 3 * qlen + 200
-        self.words = () if long else WORD.findall(text.lower())
+        self.words = WORD.findall(text.lower())
         if self.words:
             mine = [w for w in self.words if w not in LABELS] or list(self.words)
             inside = sum(w in qset for w in mine)
@@ -130,7 +128,9 @@ class Pair:
         body = text
         if whole and self.same_end:
             body = stripped[: max(0, len(stripped.rstrip(".。 ")) - len(whole.rstrip(". ")))]
-        scores = lang.votes(body if len(body) < 1500 else body[:750] + body[-750:]) if not (is_answer and self.same_end) else {}
+        if len(q) > 25:
+            body = body.replace(q.strip(), " ")  # a restated question says nothing about the response's own language
+        scores = lang.votes(body) if not (is_answer and self.same_end) else {}
         self.rlang, self.weight, self.lead = lang.best(scores)
         own = scores.get(self.qlang, 0.0)
         self.foreign = (self.weight - own) / (self.weight + own + 0.5) if self.qlang and self.rlang and self.rlang != self.qlang else 0.0

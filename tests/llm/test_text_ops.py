@@ -290,6 +290,16 @@ def test_refusal_counts_wherever_it_stands():
     assert model.defect(pairs.Pair(q, " ".join(why), "Dolnevan", False, {})) is None
 
 
+def test_long_responses_are_read_whole():
+    q = "Which of the mills near Alpha was built by Beta and sold to the Gamma estate before the old bridge at Delta was taken down?"
+    hit = lambda t: [d for d in pairs.DEFECTS if pairs.exact(d, pairs.Pair(q, t, None, False, {}))]
+    assert "copies_question" in hit(" ".join([q] * 5)) and "copies_question" in hit("\n".join([q.rstrip("?")] * 5))
+    own = "The mill was built by the owner of the estate and it was sold in the year that the bridge was taken down. " * 8
+    other = "Die alte Mühle wurde von der Gemeinde gekauft und ist nicht mehr in dem Ort, der sie für sich haben wollte. " * 200
+    assert "other_language" in hit(own + other + own) and "other_language" not in hit(own * 5 + other[:500] + own * 5)
+    assert "copies_question" not in hit(q + " " + own) and "other_language" in hit(f"{q}\n{other[:600]}")
+
+
 # --- boilerplate
 
 
