@@ -47,36 +47,40 @@ def bm25(chunks: DataFrame, queries: DataFrame, corpus: str | None = None, k1: f
     return m.withColumn("_p", part).groupBy("query_id", "chunk_id", "n_tokens").agg(F.round(F.sum("_p"), 6).alias("score"))
 
 
-def top_k(scores: DataFrame, k: int) -> DataFrame:
+def top_k(scores: DataFrame, k: int | Column) -> DataFrame:
     """The k best chunks of every query with their rank; ties by chunk."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def within_budget(scores: DataFrame, budget: int) -> DataFrame:
-    """The best chunks of every query whose running total of tokens stays within the budget.
+def within_budget(scores: DataFrame, budget: int | str) -> DataFrame:
+    """The best chunks of every query whose running total of tokens stays within the budget, a number or a column.
 
     A matching chunk has at least one token, so no more than budget ranks can fit: the rank limit is applied first and
     keeps the running total from sorting all matches of a query.
     """
+    budget = F.col(budget) if isinstance(budget, str) else budget
     top = top_k(scores, budget)
     run = F.sum("n_tokens").over(Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     return top.withColumn("running", run).where(F.col("running") <= budget)
 
 
-def compact(chunks: DataFrame, queries: DataFrame, budget: int, joiner: str = "...\n") -> DataFrame:
+def compact(chunks: DataFrame, queries: DataFrame, budget: int | str, joiner: str = "...\n") -> DataFrame:
     """(query_id, doc_order, body): each question's documents cut to the chunks that its budget holds.
 
     chunks: query_id, doc_order, chunk_order, text. A question whose chunks all fit keeps them joined by line breaks;
-    else the best are kept in their old order, joined by the mark, and a document without one is ''.
+    else the best are kept in their old order, joined by the mark, and a document without one is ''. The budget is a
+    number, or a column of the queries.
     """
+    limit = F.col(budget) if isinstance(budget, str) else F.lit(budget)
+    limits = queries.select("query_id", limit.alias("_limit"))
     c = chunks.withColumn("chunk_id", F.struct("doc_order", "chunk_order")).withColumn("n", F.size(tokens("text")))
     total = c.groupBy("query_id").agg(F.sum("n").alias("_total"))
-    c = c.join(total, "query_id")
-    small, large = c.where(F.col("_total") <= budget), c.where(F.col("_total") > budget)
+    c = c.join(total, "query_id").join(limits, "query_id")
+    small, large = c.where(F.col("_total") <= F.col("_limit")), c.where(F.col("_total") > F.col("_limit"))
     fits = small.groupBy("query_id", "doc_order").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_order", "text"))), lambda x: x["text"]), "\n").alias("body"))
     s = bm25(large.select("chunk_id", F.col("query_id").alias("corpus"), "text"), queries.join(large.select("query_id").distinct(), "query_id", "left_semi"), "corpus")
-    kept = within_budget(s, budget).select("query_id", "chunk_id", F.lit(True).alias("_k"))
+    kept = within_budget(s.join(limits, "query_id"), "_limit").select("query_id", "chunk_id", F.lit(True).alias("_k"))
     j = large.join(kept, ["query_id", "chunk_id"], "left")
     cut = j.groupBy("query_id", "doc_order").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_k"), F.struct("chunk_order", "text")))), lambda x: x["text"]), joiner).alias("body"))
     return fits.unionByName(cut)

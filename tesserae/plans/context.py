@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions.chunk import chunks, markdown_chunks
 from tesserae.functions.text import must_keep, neutral_headings
-from tesserae.operators.retrieval import compact
+from tesserae.operators.retrieval import compact, tokens
 
 # The distribution of context budgets, in units of 1,024 tokens.
 MEAN_K, STD_K, PER_DOCUMENT_K, LEAST, MOST = 54, 30, 3, 4096, 98304
@@ -59,15 +59,16 @@ def pack_contexts(questions: DataFrame, articles: DataFrame, key: str = "sample_
     docs = article_texts(questions, articles, key, "relevant_web_articles")
     lead = F.when(F.instr("text", "\n\n") > 0, must_keep("text")).otherwise("")
     docs = docs.withColumn("lead", lead).withColumn("rest", F.col("text").substr(F.char_length("lead") + 1, F.char_length("text")))
-    n = docs.groupBy(key).agg(F.count("*").cast("int").alias("n_docs"), F.max("doc_order").alias("last"))
-    plan = n.withColumn("_b", budget_and_order(key, "n_docs")).select(key, "n_docs", F.lit(budget).cast("int").alias("budget") if budget else F.col("_b.budget").alias("budget"), F.col("_b.order").alias("order"))
+    n = docs.groupBy(key).agg(F.count("*").cast("int").alias("n_docs"), F.sum(F.size(tokens("lead"))).alias("n_lead"))
+    plan = n.withColumn("_b", budget_and_order(key, "n_docs")).select(key, "n_docs", "n_lead", F.lit(budget).cast("int").alias("budget") if budget else F.col("_b.budget").alias("budget"), F.col("_b.order").alias("order"))
     parts = docs.select(F.col(key).alias("query_id"), "doc_order", F.posexplode(chunks("rest", markdown_chunks, chunk_words)).alias("chunk_order", "text"))
-    limit = budget or LEAST
-    bodies = compact(parts, questions.select(F.col(key).alias("query_id"), F.col("question").alias("text")), limit).withColumnRenamed("query_id", key)
+    left = F.greatest(F.col("budget") - F.col("n_lead"), F.lit(0)).alias("left")
+    asked = questions.join(plan, key).select(F.col(key).alias("query_id"), F.col("question").alias("text"), left)
+    bodies = compact(parts, asked, "left").withColumnRenamed("query_id", key)
     w = docs.join(bodies, [key, "doc_order"], "left").join(plan, key)
     rank = F.row_number().over(_by(key, "doc_order")) - 1
     placed = w.withColumn("_r", rank).withColumn("position", F.get("order", F.col("_r"))).select(key, "position", F.concat("lead", F.coalesce("body", F.lit(""))).alias("text"))
-    return assemble(placed, key).join(plan.drop("order"), key).select(key, "n_docs", "budget", "context")
+    return assemble(placed, key).join(plan.drop("order", "n_lead"), key).select(key, "n_docs", "budget", "context")
 
 
 def _by(key: str, order: str):  # noqa: ANN202

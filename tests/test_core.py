@@ -1,3 +1,4 @@
+import re
 import random
 import sqlite3
 import sys
@@ -195,6 +196,20 @@ def test_context_budget_is_seeded(spark):
     assert got[0].budget == min(max(b, 4096), 98304) and got[0].order == order and got[1].order == []
 
 
+def test_contexts_fill_their_own_budget(spark):
+    words = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    page = words("lead", 300) + "\n\n" + "\n\n".join(f"mill {words(f'p{k}x', 40)}." for k in range(160))
+    arts = spark.createDataFrame([("a", "A", page), ("b", "B", page)], "basename string, title string, page_text string")
+    qs = spark.createDataFrame([(i, "mill", ["a", "b"]) for i in range(12)], "sample_id int, question string, relevant_web_articles array<string>")
+    size = lambda t: len(re.findall(r"\w{2,}", t))
+    got = context.pack_contexts(qs, arts, chunk_words=64).collect()
+    assert len(got) == 12 and len({r.budget for r in got}) > 5
+    for r in got:
+        assert ("p159x39" in r.context and "p0x0" in r.context) or r.budget < 13800
+    cut = [r for r in context.pack_contexts(qs, arts, budget=5000, chunk_words=64).collect() if size(r.context) <= 5000 + 10]
+    assert len(cut) == 12 and all(size(r.context) > 4000 and "lead299" in r.context for r in cut)
+
+
 def test_files_roundtrip(spark, tmp_path):
     p = str(tmp_path / "x.jsonl")
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nnot json\n{}\n{"a": 2, "b": "ü"}\n')
