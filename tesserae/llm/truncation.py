@@ -54,6 +54,7 @@ def values(df: DataFrame, columns: Sequence[str], keep: Sequence[str], source: s
     def part(c: str) -> Column:
         return F.struct(
             F.lit(c).alias("field"),
+            F.xxhash64(c).alias("text_id"),
             F.char_length(c).alias("n_chars"),
             F.octet_length(c).alias("n_bytes"),
             F.expr(f"right(`{c}`, {TAIL_CHARS})").alias("tail"),
@@ -76,9 +77,9 @@ def end_state(tail: str, intact: str) -> Column:
 
 
 def spikes(v: DataFrame, unit: str) -> DataFrame:
-    """(source, field, limit): maxima that hold far more values than the lengths just below them."""
-    hist = v.groupBy("source", "field", F.col(unit).alias("len")).agg(F.count("*").alias("n"))
+    """(source, field, limit): maxima that hold far more distinct values than the lengths just below them."""
     w = Window.partitionBy("source", "field")
+    hist = v.select("source", "field", F.col(unit).alias("len"), "text_id").distinct().groupBy("source", "field", "len").agg(F.count("*").alias("n"))
     top = hist.withColumn("limit", F.max("len").over(w)).where(F.col("len") > F.col("limit") - SPIKE_WINDOW - 1)
     got = top.groupBy("source", "field", "limit").agg(
         F.sum(F.when(F.col("len") == F.col("limit"), F.col("n")).otherwise(0)).alias("at"),
@@ -88,9 +89,15 @@ def spikes(v: DataFrame, unit: str) -> DataFrame:
     return got.where((F.col("at") >= SPIKE_LEAST) & (F.col("at") > rate + SPIKE_SIGMAS * F.sqrt(rate + 1))).select("source", "field", "limit")
 
 
+def distinct_ends(v: DataFrame) -> DataFrame:
+    """One row per distinct value and state of a column: a text that is delivered often counts once."""
+    return v.select("field", "text_id", "state", "tpl", "before").distinct()
+
+
 def closing_phrases(v: DataFrame) -> DataFrame:
-    """(field, tpl): unpunctuated last segments that recur as ends and start no longer sentence of the column."""
-    total = v.groupBy("field").agg(F.count("*").alias("total"))
+    """(field, tpl): unpunctuated last segments that recur as ends of distinct values and start no longer sentence of the
+    column. v: distinct_ends()."""
+    total = v.groupBy("field").agg(F.count_distinct("text_id").alias("total"))
     least = F.greatest(F.lit(3.0), F.col("total") * CLOSER_SHARE)
     open_ = v.where((F.col("state") == "open") & (F.char_length("tpl") >= 4)).groupBy("field", "tpl").agg(F.count("*").alias("n"))
     ends = open_.join(F.broadcast(total), "field").where(F.col("n") >= least).select("field", "tpl", "n")
@@ -103,8 +110,9 @@ def closing_phrases(v: DataFrame) -> DataFrame:
 
 
 def dotted_sentences(v: DataFrame) -> DataFrame:
-    """(field, tpl): sentences that end in a run of dots of their own: they occur so inside the texts, too."""
-    total = v.groupBy("field").agg(F.count("*").alias("total"))
+    """(field, tpl): sentences that end in a run of dots of their own: they occur so inside the texts, too.
+    v: distinct_ends()."""
+    total = v.groupBy("field").agg(F.count_distinct("text_id").alias("total"))
     inner = v.where(F.col("before").rlike(r"(\.\.\.|…)$")).select("field", F.concat_ws(" ", F.split("before", " ")[0], F.element_at(F.split("before", " "), -1)).alias("tpl"))
     return inner.groupBy("field", "tpl").agg(F.count("*").alias("n")).join(F.broadcast(total), "field").where(F.col("n") >= F.greatest(F.lit(2.0), F.col("total") * CLOSER_SHARE / 4)).select("field", "tpl")
 
@@ -113,12 +121,13 @@ def cut_values(df: DataFrame, columns: Sequence[str], key: str = "seq", source:
     """(cut, all): cut has key, source, field and cause of every cut value; all has source and field of every non-empty value.
 
     A null, blank or mark-only value is never cut. A text that lacks only its last full stop, and a list item or table
-    row at the end, isn't cut unless its length is a spike. Repeated rows count each. An empty table gives no rows.
+    row at the end, isn't cut unless its length is a spike. Repeated rows are judged each, but count once as evidence. An empty table gives no rows.
     """
     v = values(df, columns, [key], source, intact, prompt)
-    v = v.withColumn("e", end_state("tail", "intact")).select(key, "source", "field", "n_chars", "n_bytes", "echo", "e.*").persist()
-    closers = closing_phrases(v).select("field", "tpl", F.lit(True).alias("closer"))
-    dots = dotted_sentences(v).select("field", "tpl", F.lit(True).alias("dotted"))
+    v = v.withColumn("e", end_state("tail", "intact")).select(key, "source", "field", "n_chars", "n_bytes", "text_id", "echo", "e.*").persist()
+    ends = distinct_ends(v).persist()
+    closers = closing_phrases(ends).select("field", "tpl", F.lit(True).alias("closer"))
+    dots = dotted_sentences(ends).select("field", "tpl", F.lit(True).alias("dotted"))
     chars = spikes(v, "n_chars").withColumnRenamed("limit", "c_limit")
     octets = spikes(v, "n_bytes").withColumnRenamed("limit", "b_limit")
     # closers and dots hold at most a fixed number of rows per column; limits one row per source and column

@@ -217,6 +217,14 @@ def test_spikes_and_transfers(spark):
     assert empty.count() == 0
 
 
+def test_copies_are_no_closing_phrase(spark):
+    rows = [(i, "a", f"The mill number {i} was sold. It was {'old ' * (i % 7)}then.") for i in range(40)]
+    rows += [(100 + i, "a", "The mill was sold. Its owner went to the near") for i in range(20)]
+    rows += [(200 + i, "b", f"The mill was {'very ' * i}old.") for i in range(9)] + [(300 + i, "b", "- The longest of all the items that have ever been in this list of old mills and their bridges") for i in range(8)]
+    cut, _ = truncation.cut_values(spark.createDataFrame(rows, "seq int, setting string, t string"), ["t"])
+    assert sorted(r.seq for r in cut.collect()) == list(range(100, 120))
+
+
 # --- broken pairs
 
 
