@@ -289,10 +289,10 @@ def synthesize(rows: list[dict], seed: int = 11) -> tuple[list[tuple[str | None,
         trace = r[FIELDS[1]] or ""
         kind = rng.random()
         if kind < 0.3 and len(trace) > 60:
-            cut = trace[: rng.randint(20, len(trace) - 5)]
-            while cut and not (cut[-1].isalnum() and cut[-1].isascii()) or len(cut) < 12:
-                cut = trace[: rng.randint(20, len(trace) - 5)]
-            out.append((q, cut + rng.choice(["", "", "", "…", "...", " [truncated]", "�", " "]), whole, False)), labels.append(4)
+            allowed = [i for i in range(20, len(trace) - 4) if trace[i - 1].isalnum()]  # places after a letter or digit of any script
+            if allowed:
+                cut = trace[: rng.choice(allowed)]
+                out.append((q, cut + rng.choice(["", "", "", "…", "...", " [truncated]", "�", " "]), whole, False)), labels.append(4)
         elif kind < 0.4 and whole and len(whole) > 6:
             out.append((q, whole[: rng.randint(2, len(whole) - 3)] + rng.choice(["", "", "…", "..."]), whole, True)), labels.append(4)
         lines = [x for x in trace.split("\n") if x.strip()]
