@@ -58,46 +58,38 @@ def sentence_chunks(text: str, max_words: int = SENTENCE_WORDS) -> list[str]:
 
 
 def markdown_chunks(markdown: str, max_words: int) -> list[str]:
-    """A piece of at most max_words stays whole. A longer one is read line by line as text, code or table: code and
-    tables stay together, text is cut by sentences, blank lines go. A table or fence on the first line of a run counts
-    as text, so the row that opens a table stands apart, and an opening fence there turns code and text around until
-    the next; what is left at the end is cut by sentences."""
+    """A piece of at most max_words stays whole, trimmed, a blank one as ''. A longer one is read line by line as text, code or table: code
+    and tables stay together, blank lines go, and running text is closed before the line that takes it over max_words;
+    what is closed as text, and what is left at the end, is then cut by sentences at SENTENCE_WORDS. A table or fence on
+    the first line of a run counts as text, so the row that opens a table stands apart, and an opening fence there turns
+    code and text around until the next."""
     if len(markdown.split()) <= max_words:
-        return [markdown]
+        return [markdown.strip()]
     out: list[str] = []
     held: list[str] = []
-    state = "text"
+    state, words = "text", 0
 
     def flush(as_block: bool) -> None:
+        nonlocal words
         if held:
             block = "\n".join(held)
             out.extend([block] if as_block else sentence_chunks(block))
             held.clear()
-
-    for line in markdown.split("\n"):
-        s = line.strip()
-        if not s:
-            continue
-        fence, row = s.startswith("```"), s.startswith("|")
-        if state == "text":
-            if not held:
-                held.append(line)
-            elif fence or row:
-                flush(False)
-                held.append(line)
-                state = "code" if fence else "table"
-            else:
-                held.append(line)
-        elif state == "code":
-            held.append(line)
-            if fence:
-                flush(True)
-                state = "text"
-        elif row:
-            held.append(line)
-        else:
+        words = 0
+
+    for line in filter(None, map(str.strip, markdown.split("\n"))):
+        n = len(line.split())
+        now = "code" if line.startswith("```") else "table" if line.startswith("|") else "text"
+        if held and state == "text" and (now != "text" or words + n > max_words):
+            flush(False)
+            state = now
+        elif held and state == "table" and now != "table":
+            flush(True)
+            state = "text"
+        held.append(line)
+        words += n
+        if state == "code" and now == "code" and len(held) > 1:
             flush(True)
-            held.append(line)
             state = "text"
     flush(False)
     return out

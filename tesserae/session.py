@@ -31,13 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where that setting is absent (tests)."""
+    """The shared folder named in spark.checkpoint.dir. Without that setting a process on one machine (tests, bench) takes a
+    temporary one, and a cluster is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not named:
         named = sc._jsc.sc().getCheckpointDir()
         named = named.get() if named.isDefined() else None
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tesserae-ckpt-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
@@ -59,6 +62,16 @@ def thinned(df: DataFrame, key: str, limit: int, spare: int = 20) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 30)) < int((1 << 30) * spare * limit / n))
 
 
+BROADCAST_BYTES = 32 << 20  # bytes, at most, of a side that is sent to every task
+
+
+def if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for a broadcast join if its rows, counted first, hold at most most bytes; else df as it is."""
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    size = sum(wide, F.lit(16 * len(df.columns)))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores, where a table has so few splits that Python work on it would leave cores idle.
 
