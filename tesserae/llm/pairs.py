@@ -1,9 +1,10 @@
 """Broken prompt and response pairs: a multi-label linear classifier over hashed n-grams and pair features.
 
 Training makes its own labels: from a bounded sample of natural rows (TRAIN_ROWS) responses are truncated, copied from
-their question, swapped for responses in other languages, refused and emptied; natural responses are the negatives.
-One logistic model per defect is fitted, its threshold is calibrated on held-out synthetic rows, and every field of
-every row is scored in Arrow batches. What a model flags is then held against an exact check of that defect.
+their question, swapped for responses in other languages, refused and emptied; natural responses are the negatives. One
+logistic model per defect is fitted twice: natural responses that first fits on other rows are sure of aren't negatives
+of the second. Thresholds are calibrated on held-out rows, and every field of every row is scored in Arrow batches. The
+model decides; no rule follows it.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.llm import lang, tails
-from tesserae.session import thinned
+from tesserae.session import if_small, spread, thinned
 
 TRAIN_ROWS = 2000  # natural rows, at most, that the classifier is fitted on
+LEAST_ROWS = 1000  # rows that synthetic defects are made of, at least; fewer are used more than once
 HASH_BITS = 15
-RECALL = 0.997  # of held-out synthetic positives that a threshold must keep
-MARGIN = 3.0  # log-odds that thresholds are lowered by where an exact check follows
+SURE = 0.0  # log-odds of a defect above which a first fit on other rows takes a natural response for no negative
 DEFECTS = ["empty", "copies_question", "refusal", "other_language", "truncated"]
 FIELDS = ["final_answer_sql", "llm_generated_reasoning_traces"]
 SCHEMA = "seq bigint, field string, defect string"
@@ -35,6 +36,7 @@ MISSING = re.compile(tails.MISSING.replace("(?i)", "^") + "$", re.I)
 PUNCT = re.compile(r"[\W_]+")
 NAME = re.compile(r"[A-ZÀ-Þ][^\W\d_]+")
 LABELS = set("q a question prompt query task frage aufgabe pregunta consulta the is asked original here again user".split()) | {"вопрос", "问题", "質問"}
+TOKEN = re.compile(r"[^\W_]+|[^\w\s]")
 SENT = re.compile(r"(?<=[.!?。！？।])\s+|\n+")
 #: Ways to decline, by language, that refused responses are made of: openings, cores, endings.
 DECLINE = {
@@ -55,16 +57,18 @@ FOREIGN = [
 ]
 
 
+def hashed(grams: set[str]) -> list[int]:
+    return sorted({zlib.crc32(g.encode()) & ((1 << HASH_BITS) - 1) for g in grams})
+
+
 def bare(text: str) -> str:
     return PUNCT.sub(" ", MARKUP.sub(" ", text)).strip()
 
 
 def is_void(text: str | None) -> bool:
-    """The exact check for 'empty'."""
+    """Nothing but blanks, punctuation, markup, section markers or a word for a missing value."""
     if text is None:
         return True
-    if len(text) >= 200:
-        return not any(ch.isalnum() for ch in text) or (not any(ch.isalnum() for ch in MARKUP.sub(" ", text)))
     b = bare(text)
     return not b or bool(MISSING.match(b))
 
@@ -81,9 +85,9 @@ def begins_and_breaks_off(text: str, question: str) -> bool:
 
 
 class Pair:
-    """What one response and its question share; the values that features and exact checks are made of."""
+    """What one response and its question share; the values that the features are made of."""
 
-    __slots__ = ("answer", "bags", "cover", "cut_copy", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
+    __slots__ = ("answer", "answered", "bags", "cover", "cut_copy", "ended", "foreign", "inside", "lead", "length", "qlang", "ratio", "rlang", "same_end", "state", "tail", "text", "void", "weight", "words")
 
     def __init__(self, question: str | None, text: str | None, intact: str | None, is_answer: bool, qcache: dict) -> None:
         self.text, self.answer, self.bags = text, is_answer, None
@@ -130,6 +134,7 @@ class Pair:
             body = stripped[: max(0, len(stripped.rstrip(".。 ")) - len(whole.rstrip(". ")))]
         if len(q) > 25:
             body = body.replace(q.strip(), " ")  # a restated question says nothing about the response's own language
+        self.answered = tails.states_answer(self.tail)
         scores = lang.votes(body) if not (is_answer and self.same_end) else {}
         self.rlang, self.weight, self.lead = lang.best(scores)
         own = scores.get(self.qlang, 0.0)
@@ -137,77 +142,75 @@ class Pair:
 
     def dense(self) -> list[float]:
         if self.void:
-            return [1.0] + [0.0] * 13 + [1.0 if self.answer else 0.0]
+            return [1.0] + [0.0] * (N_DENSE - 2) + [1.0 if self.answer else 0.0]
         copied = max(0.0, self.inside - 0.8) * 5 * min(1.0, self.cover / 0.7)
+        whole = self.inside >= 0.9 and self.cover >= 0.6 and self.ratio > 0.55
+        given = self.given()
+        state = STATES.index(self.state)
         return [
-            0.0, self.inside, self.cover, copied, 1.0 if copied > 0.4 and not self.same_end else 0.0, min(2.0, self.ratio),
-            1.0 if self.state == "done" else 0.0, 1.0 if self.state == "open" else 0.0, 1.0 if self.state == "broken" else 0.0, 1.0 if self.state == "mark" else 0.0,
-            1.0 if self.same_end else 0.0, self.foreign, 1.0 if self.foreign > 0.5 and self.weight >= 1.5 else 0.0, min(1.0, self.lead / 5), 1.0 if self.answer else 0.0,
+            0.0, self.inside, self.cover, copied, float(whole and not self.same_end), float(whole and self.cut_copy and self.state != "done"), min(2.0, self.ratio),
+            *(float(i == state) for i in range(len(STATES))), float(self.state in STATES[1:4] and not self.same_end), float(self.state in STATES[1:4] and not given and not whole), float(whole and self.state in STATES[1:4] and not self.cut_copy),
+            float(self.same_end), float(given), self.foreign, float(self.foreign > 0.5 and self.weight >= 1.5), min(1.0, self.lead / 5), float(self.answer),
         ]
 
+    def given(self) -> bool:
+        return self.same_end or (self.answered and not self.answer)
+
     def grams(self) -> list[list[int]]:
         """Hashed 1- to 3-grams, names and numbers masked, of each sentence of the whole response."""
-        if self.void or self.same_end:
+        if self.void:
             return []
         if self.bags is not None:
             return self.bags
         self.bags = bags = []
         for s in SENT.split(self.text.strip()):
-            if not s.strip():
-                continue
             head, _, rest = s.strip().partition(" ")
-            w = WORD.findall((head + " " + NAME.sub("xx", rest)).lower())
-            w = ["9" if x.isdigit() else x for x in w]
-            bag = {zlib.crc32(" ".join(w[i : i + n]).encode()) & ((1 << HASH_BITS) - 1) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
-            if bag:
-                bags.append(sorted(bag))
+            w = ["9" if x.isdigit() else x for x in WORD.findall((head + " " + NAME.sub("xx", rest)).lower())]
+            if w:
+                bags.append(hashed({" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}))
         return bags
 
-
-N_DENSE = 15
-REFUSAL = DEFECTS.index("refusal")
+    def end_grams(self) -> list[int]:
+        """Hashed n-grams that end where the response does: its last 1 to 4 words and marks, names and numbers masked,
+        apart for responses that end with an answer."""
+        if self.void:
+            return []
+        w = ["9" if x.isdigit() else "xx" if NAME.fullmatch(x) else x.lower() for x in TOKEN.findall(self.tail[-200:])[-4:]]
+        mark = "$$" if self.given() else "$"
+        return hashed({mark + " ".join(w[-n:]) for n in range(1, len(w) + 1)})
 
 
-def exact(defect: str, p: Pair) -> bool:
-    """The check behind the classifier; for a refusal, that no answer follows it."""
-    if defect == "empty":
-        return p.void
-    if p.void:
-        return False
-    if defect == "copies_question":
-        return not p.same_end and p.inside >= 0.9 and p.cover >= 0.6 and p.ratio > 0.55 and not (p.cut_copy and p.state != "done")
-    if defect == "refusal":
-        return not p.same_end
-    if defect == "other_language":
-        return not (p.answer and p.same_end) and p.foreign > 0.5 and p.weight >= 1.5
-    return p.state in ("broken", "open", "mark") and not p.same_end
+STATES = ["done", "open", "broken", "mark", "item", "thai", "loose"]
+N_DENSE = 16 + len(STATES)
+REFUSAL, TRUNCATED = DEFECTS.index("refusal"), DEFECTS.index("truncated")
 
 
 class Model:
-    """One weight row per defect: N_DENSE pair features, a bias, and 2^HASH_BITS hashed n-grams."""
+    """One row per defect over N_DENSE pair features and a bias, and one weight per hashed n-gram: those of the sentence
+    that looks most like a refusal speak for 'refusal', those of the end for 'truncated'."""
 
     def __init__(self) -> None:
         self.dense = np.zeros((len(DEFECTS), N_DENSE + 1), np.float64)
-        self.hashed = np.zeros((1 << HASH_BITS, len(DEFECTS)), np.float32)
+        self.hashed = np.zeros((2, 1 << HASH_BITS), np.float64)
         self.threshold = np.zeros(len(DEFECTS))
 
-    def bag(self, bags: list[list[int]]) -> np.ndarray:
-        """What the n-grams of the sentence that looks most like a defect add to the score of that defect."""
-        return np.max([self.hashed[g].sum(axis=0) / np.sqrt(len(g)) for g in bags], axis=0)
-
     def scores(self, p: Pair) -> np.ndarray:
         z = self.dense[:, :N_DENSE] @ np.asarray(p.dense()) + self.dense[:, N_DENSE]
-        bags = p.grams()
-        return z + self.bag(bags) if bags else z
+        bags, end = p.grams(), p.end_grams()
+        if bags:
+            said = self.hashed[0]
+            z[REFUSAL] += max(said[g].sum() / len(g) ** 0.5 for g in bags)
+        if end:
+            z[TRUNCATED] += self.hashed[1][end].sum() / len(end) ** 0.5
+        return z
 
     def defect(self, p: Pair) -> str | None:
-        z = self.scores(p)
-        for k, name in enumerate(DEFECTS):
-            if z[k] >= self.threshold[k] and exact(name, p):
-                return name
-        return None
+        """The defect whose score lies furthest above its threshold."""
+        z = self.scores(p) - self.threshold
+        k = int(z.argmax())
+        return DEFECTS[k] if z[k] >= 0 else None
 
-    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 24, rate: float = 0.3, batch: int = 32, seed: int = 7) -> Model:
+    def fit(self, pairs: list[Pair], labels: np.ndarray, epochs: int = 24, rate: float = 0.4, batch: int = 64, seed: int = 7) -> Model:
         """Adagrad on the logistic loss in small batches over all labels. Of a row's sentences the one that looks most
         like a refusal at the start of an epoch counts."""
         rng = np.random.default_rng(seed)
@@ -215,57 +218,55 @@ class Model:
         x = np.ones((n, N_DENSE + 1))
         x[:, :N_DENSE] = [p.dense() for p in pairs]
         bags = [(i, np.asarray(g, np.int64)) for i, p in enumerate(pairs) for g in p.grams()]
+        ends = [np.asarray(p.end_grams(), np.int64) for p in pairs]
         owner = np.asarray([i for i, _ in bags], np.int64)
         sizes = np.asarray([len(g) for _, g in bags], np.int64)
         flat = np.concatenate([g for _, g in bags]) if bags else np.empty(0, np.int64)
-        ends = np.cumsum(sizes)
+        stops = np.cumsum(sizes)
+        none = np.empty(0, np.int64)
         hd, hh = np.full_like(self.dense, 1e-3), np.full_like(self.hashed, 1e-3)
         for _ in range(epochs):
-            chosen = np.full(n, -1)
+            said = [none] * n
             if len(bags):
-                looks = np.add.reduceat(self.hashed[flat, REFUSAL], ends - sizes) / np.sqrt(sizes)
-                order = np.lexsort((looks, owner))  # the last of each owner has its greatest
-                chosen[owner[order]] = order
+                looks = np.add.reduceat(self.hashed[0][flat], stops - sizes) / np.sqrt(sizes)
+                for j in np.lexsort((looks, owner)):  # the last of each owner has its greatest
+                    said[owner[j]] = bags[j][1]
             for rows in np.array_split(rng.permutation(n), max(1, n // batch)):
-                own = chosen[rows]
-                at = np.flatnonzero(own >= 0)
-                k = own[at]
-                idx = np.concatenate([bags[j][1] for j in k]) if len(k) else np.empty(0, np.int64)
-                row = np.repeat(at, sizes[k])
-                scale = (1.0 / np.sqrt(np.repeat(sizes[k], sizes[k])))[:, None]
                 z = x[rows] @ self.dense.T
-                if len(idx):
-                    np.add.at(z, row, self.hashed[idx] * scale)
+                held = []
+                for h, k, of in ((0, REFUSAL, said), (1, TRUNCATED, ends)):
+                    lens = np.asarray([len(of[r]) for r in rows], np.int64)
+                    idx = np.concatenate([of[r] for r in rows])
+                    row = np.repeat(np.arange(len(rows)), lens)
+                    scale = 1.0 / np.sqrt(np.repeat(lens, lens))
+                    z[:, k] += np.bincount(row, self.hashed[h][idx] * scale, len(rows))
+                    held.append((h, k, idx, row, scale))
                 err = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - labels[rows]
                 grad = err.T @ x[rows]
                 hd += grad * grad
-                self.dense -= rate * grad / np.sqrt(hd)
-                if len(idx):
+                self.dense -= 2 * rate * grad / np.sqrt(hd)
+                for h, k, idx, row, scale in held:
                     touched, inv = np.unique(idx, return_inverse=True)
-                    g = np.zeros((len(touched), len(DEFECTS)))
-                    np.add.at(g, inv, err[row] * scale)
-                    hh[touched] += g * g
-                    self.hashed[touched] -= rate * g / np.sqrt(hh[touched])
+                    g = np.bincount(inv, err[row, k] * scale, len(touched))
+                    hh[h][touched] += g * g
+                    self.hashed[h][touched] -= rate * g / np.sqrt(hh[h][touched])
         return self
 
     def calibrate(self, pairs: list[Pair], labels: np.ndarray) -> Model:
-        """Per defect the threshold that keeps RECALL of the held-out positives, less MARGIN, where an exact check follows; else the one with the fewest errors."""
+        """Per defect the threshold with the least share of errors among held-out positives plus that among negatives, in
+        the middle of the widest such gap."""
         z = np.asarray([self.scores(p) for p in pairs])
         for k in range(len(DEFECTS)):
             pos, neg = np.sort(z[labels[:, k] == 1, k]), np.sort(z[labels[:, k] == 0, k])
             if not len(pos):
                 self.threshold[k] = 1e9
                 continue
-            keep = pos[int((1 - RECALL) * len(pos))]
-            if DEFECTS[k] != "refusal":
-                keep -= MARGIN  # an exact check follows
-            elif len(neg):  # no exact check decides here: the threshold with the fewest errors, half way to its neighbours
-                cut = np.unique(np.concatenate([pos, neg]))
-                errors = np.searchsorted(pos, cut, "left") + len(neg) - np.searchsorted(neg, cut, "left")
-                least = np.flatnonzero(errors == errors.min())
-                at = least[len(least) // 2]
-                keep = cut[at] if at == 0 else 0.5 * (cut[at] + cut[at - 1])
-            self.threshold[k] = keep
+            at = np.unique(np.concatenate([pos, neg]))
+            cuts = np.concatenate([at[:1] - 1, 0.5 * (at[1:] + at[:-1])])
+            errors = np.searchsorted(pos, cuts, "left") / len(pos) + 1 - np.searchsorted(neg, cuts, "left") / max(1, len(neg))
+            width = np.concatenate([[0.0], np.diff(at)])
+            best = np.flatnonzero(errors == errors.min())
+            self.threshold[k] = cuts[best[width[best].argmax()]]
         return self
 
 
@@ -314,52 +315,63 @@ def synthesize(rows: list[dict], seed: int = 11) -> tuple[list[tuple[str | None,
             elif len(lines) > 2 and place.random() < 0.5:  # declined at the start, then explained
                 said = place.choice([" ", "\n\n"]).join([said, *lines[: place.randint(1, len(lines) - 1)]])
             out.append((q, said, whole, rng.random() < 0.4)), labels.append(2)
+            if whole and len(lines) > 1 and place.random() < 0.5:  # a doubt that is resolved later is none
+                out.append((q, place.choice([" ", "\n\n"]).join([place.choice(a) + place.choice(b) + place.choice(c), *lines[:-1], f"Final answer: {whole}"]), whole, False)), labels.append(-1)
         if rng.random() < 0.4:
             other = [x for x in langs if x and x != r["ql"] and by_lang[x]]
             foreign = rng.choice(FOREIGN).format(whole or "x")
             if other and rng.random() < 0.5:
                 foreign = rng.choice(by_lang[rng.choice(other)])[FIELDS[1]] or foreign
-            out.append((q, foreign, whole, rng.random() < 0.4)), labels.append(3)
+            own = [x for x in trace.split("\n") if x.strip()]
+            if own and place.random() < 0.3:  # most of it in another language, between an opening and an end that aren't
+                foreign = "\n".join([own[0], *[foreign] * place.randint(3, 30), own[-1]])
+            if lang.best(lang.votes(foreign))[0] not in ("", r["ql"]):  # else it happens to be in the question's language
+                out.append((q, foreign, whole, rng.random() < 0.4)), labels.append(3)
         if rng.random() < 0.12:
             out.append((q, rng.choice(["", " ", "\n\n", "-", "...", "none", "N/A", "NaN", "null", "{}", "[]", "''", "```\n```", "<answer></answer>", "[[ ## answer ## ]]\n\n[[ ## completed ## ]]", None]), whole, rng.random() < 0.5)), labels.append(0)
     return out, labels
 
 
-def train(sample: list[dict]) -> Model:
-    """Fit and calibrate on the sample; natural rows that fail an exact check are no negatives."""
-    raw, kinds = synthesize(sample)
+def labelled(sample: list[dict], seed: int = 11, least: int = LEAST_ROWS) -> tuple[list[Pair], np.ndarray]:
+    """Responses with labels; a sample of fewer than least rows is drawn from repeatedly."""
     pairs: list[Pair] = []
     labels: list[list[int]] = []
     qcache: dict = {}
-    for (q, text, whole, ans), kind in zip(raw, kinds, strict=True):
-        p = Pair(q, text, whole, ans, qcache)
-        held = [exact(d, p) for d in DEFECTS if d != "refusal"]
-        if kind == -1 and any(held):
-            continue
-        if kind >= 0 and not exact(DEFECTS[kind], p):
-            continue
-        pairs.append(p)
-        labels.append([int(k == kind) for k in range(len(DEFECTS))])
-    y = np.asarray(labels, np.float64).reshape(len(labels), len(DEFECTS))
-    if len(pairs) < 10:  # nothing to learn from: the exact checks alone decide, and refusals aren't told
+    for k in range(-(-least // max(1, len(sample))) if len(sample) >= 5 else 1):
+        raw, kinds = synthesize(sample, seed + 100 * k)
+        pairs += [Pair(q, text, whole, ans, qcache) for q, text, whole, ans in raw]
+        labels += [[int(d == kind) for d in range(len(DEFECTS))] for kind in kinds]
+    return pairs, np.asarray(labels, np.float64).reshape(len(labels), len(DEFECTS))
+
+
+def train(sample: list[dict]) -> Model:
+    """Fit and calibrate on the sample. Of fewer than 10 responses nothing is learned, and nothing is flagged but what
+    is empty."""
+    pairs, y = labelled(sample)
+    if len(pairs) < 10:
         model = Model()
-        model.threshold[REFUSAL] = 1e9
+        model.threshold[:] = 1e9
+        model.dense[0, 0], model.threshold[0] = 1.0, 0.5
         return model
     test = np.arange(len(pairs)) % 5 == 0
     part = lambda m: [p for p, keep in zip(pairs, m, strict=True) if keep]
-    first = Model().fit(part(~test), y[~test], epochs=8)
-    # natural refusals among the negatives: what the first model is surest of is left out of the second fit
-    sure = np.asarray([first.scores(p)[REFUSAL] > 2.5 and y[i].sum() == 0 for i, p in enumerate(pairs)], bool)
+    # natural defects among the negatives: each half is judged by a fit on the other, and what that is sure of isn't used
+    half = np.arange(len(pairs)) // 5 % 2 == 0
+    sure = np.zeros(len(pairs), bool)
+    for side in (half, ~half):
+        other = Model().fit(part(side), y[side], epochs=8)
+        sure |= np.asarray([not side[i] and y[i].sum() == 0 and other.scores(p).max() > SURE for i, p in enumerate(pairs)], bool)
     keep = ~sure
     return Model().fit(part(~test & keep), y[~test & keep]).calibrate(part(test & keep), y[test & keep])
 
 
 def with_intact(attempts: DataFrame, intact: DataFrame | None, key: str = "sample_id") -> DataFrame:
-    """The rows with the intact answer of their sample, where there is one; a sample that is listed twice gives one."""
+    """The rows with the intact answer of their sample, where there is one; a sample that is listed twice gives one. The
+    answers go to every task if they are few, so that no long text is shuffled for them; else both sides are."""
     if intact is None:
         return attempts.withColumn("intact", F.lit(None).cast("string"))
     one = intact.groupBy(F.col(key).alias("_k")).agg(F.max("final_answer_sql").alias("intact"))
-    return attempts.join(one, F.col(key) == F.col("_k"), "left").drop("_k")
+    return attempts.join(if_small(one), F.col(key) == F.col("_k"), "left").drop("_k")
 
 
 def fit_pairs(rows: DataFrame, intact: DataFrame | None, train_rows: int = TRAIN_ROWS) -> Model:
@@ -373,10 +385,11 @@ def broken_pairs(rows: DataFrame, intact: DataFrame | None = None, model: Model
     """One row (seq, field, defect) per defective field of every row.
 
     Nulls, empty and blank responses are 'empty'. A null question rules out copies_question and other_language. Rows
-    that are repeated are judged each. An empty table gives no rows; of a table too small to learn from refusals aren't told. Extra columns aren't read.
+    that are repeated are judged each. An empty table gives no rows; of a table too small to learn from only 'empty' is
+    told. Extra columns aren't read.
     """
     model = model or fit_pairs(rows, intact)
-    slim = with_intact(rows.select("seq", "sample_id", "question", *FIELDS), intact).select("seq", "question", "intact", *FIELDS)
+    slim = with_intact(spread(rows.select("seq", "sample_id", "question", *FIELDS)), intact).select("seq", "question", "intact", *FIELDS)
     carried = rows.sparkSession.sparkContext.broadcast((model.dense, model.hashed, model.threshold))  # of fixed size
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -388,8 +401,6 @@ def broken_pairs(rows: DataFrame, intact: DataFrame | None = None, model: Model
             for f, is_answer in ((FIELDS[0], True), (FIELDS[1], False)):
                 for seq, q, whole, text in zip(b["seq"].tolist(), b["question"].tolist(), b["intact"].tolist(), b[f].tolist(), strict=True):
                     p = Pair(q, text, whole, is_answer, qcache)
-                    if not p.void and p.same_end and (p.answer or p.foreign <= 0.5):
-                        continue  # ends with the intact answer: every exact check rules it out
                     d = m.defect(p)
                     if d:
                         found.append((seq, f, d))

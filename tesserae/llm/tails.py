@@ -74,6 +74,15 @@ def broken_answer(tail: str, intact: str) -> bool:
     return prefix_of(said, intact.rstrip(". "))
 
 
+def states_answer(tail: str) -> bool:
+    """Whether the last line says what the answer is."""
+    line = tail.rstrip().rsplit("\n", 1)[-1]
+    last = None
+    for last in ANSWER_RE.finditer(line):
+        pass
+    return last is not None and any(ch.isalnum() for ch in line[last.end() :])
+
+
 def look(tail: str, intact: str | None) -> tuple[str, str, str]:
     """('done' | 'open' | 'mark' | 'broken', template of the last segment, template of the one before).
 

@@ -228,21 +228,6 @@ def test_copies_are_no_closing_phrase(spark):
 # --- broken pairs
 
 
-def test_exact_checks():
-    q = "Which of the mills near Alpha was built by Beta and sold to the Gamma estate?"
-    cache = {}
-    p = lambda t, g=None, ans=False: pairs.Pair(q, t, g, ans, cache)
-    hit = lambda x: [d for d in pairs.DEFECTS if pairs.exact(d, x)]
-    for t in (None, "", " \n", "...", "none", "N/A", "```\n```", "<answer></answer>", "[[ ## reasoning ## ]]\n\n[[ ## completed ## ]]", "​"):
-        assert hit(p(t)) == ["empty"]
-    for t in (q, q.upper(), "Q: " + q, q + "\n" + q, " ".join(q.split()[6:] + q.split()[:6])):
-        assert "copies_question" in hit(p(t))
-    assert "copies_question" not in hit(p(q + " It is Delta Omega.", "Delta Omega"))
-    assert "other_language" in hit(p("Die alte Mühle wurde am 1. Mai eröffnet und ist nicht mehr da.")) and "other_language" in hit(p("Башня построена в 1801 году."))
-    assert "other_language" not in hit(p("The title „Die Mühle“ is what the text says of it, and that was in the archive."))
-    assert "truncated" in hit(p("The mill was built by Be")) and "truncated" in hit(p("12.5", "12.57 m", True)) and hit(p("12.57 m", "12.57 m", True)) == ["refusal"][:0]
-
-
 def held_out(n=400, seed=21):
     rng = random.Random(seed)
     names = [f"{a}{b}" for a in ("Mar", "Tel", "Bor", "Kes", "Dol") for b in ("nevan", "timen", "lazar", "ropen")]
@@ -250,28 +235,56 @@ def held_out(n=400, seed=21):
     for i in range(n):
         a, b, c = (rng.choice(names) for _ in range(3))
         ans = rng.choice([f"It was {a}.", a, f"{rng.randint(2, 999)} m"])
-        steps = [rng.choice([f"I cannot find {b} in Document 3, but Document 5 describes the same mill.", f"Unfortunately, {c} has two entries, and I must decline the later one.", f"The filter leaves 2 candidates: {b} and {c}.", f"Sorting by year puts {b} ahead of {c}."]) for _ in range(rng.randint(2, 5))]
+        said = [
+            [f"I cannot find {b} in Document 3, but Document 5 describes the same mill.", f"Unfortunately, {c} has two entries, and I must decline the later one.", f"The filter leaves 2 candidates: {b} and {c}.", f"Sorting by year puts {b} ahead of {c}."],
+            [f"La torre de {b} fue vendida en 1870 y no se sabe por quién.", f"En {c} vivía la familia; su casa daba a la mina.", f"El gasto de la obra subió hasta {rng.randint(20, 99)} coronas.", f"No hubo otra torre junto a {b}."],
+            [f"Die alte Mühle bei {b} wurde von der Gemeinde verkauft.", f"Das Haus steht nicht mehr in {c}.", f"Nach der Karte lag die Mühle im Bezirk {b}.", f"Wer hat die Brücke bei {c} bezahlt?"],
+        ][i % 3]
+        steps = [rng.choice(said) for _ in range(rng.randint(2, 5))]
         q = [f"Which of the mills near {a} was built by {b} and sold to the {c} estate?", f"¿Qué obra de {a} fue vendida a {b} y descrita por {c} para la torre?", f"Welche Anlage bei {a} wurde an {b} verkauft und nach {c} benannt?"][i % 3]
-        rows.append({"seq": i, "sample_id": i, "question": q, "intact": ans, "final_answer_sql": ans, "llm_generated_reasoning_traces": "\n".join([*steps, f"Final answer: {ans}"]) if i % 5 else "\n".join(steps)})
+        rows.append({"seq": i, "sample_id": i, "question": q, "intact": ans, "final_answer_sql": ans, "llm_generated_reasoning_traces": "\n".join([*steps, f"{['Final answer', 'Respuesta', 'Antwort'][i % 3]}: {ans}"]) if i % 5 else "\n".join(steps)})
     return rows
 
 
-def test_classifier_on_held_out_rows():
-    model = pairs.train(held_out())
-    raw, kinds = pairs.synthesize(held_out(200, seed=77), seed=78)
-    cache, right, wrong, missed, n = {}, 0, 0, 0, 0
-    for (q, t, g, ans), k in zip(raw, kinds, strict=True):
-        p = pairs.Pair(q, t, g, ans, cache)
-        if k == -1 and any(pairs.exact(d, p) for d in pairs.DEFECTS if d != "refusal"):
-            continue
-        if k >= 0 and not pairs.exact(pairs.DEFECTS[k], p):
-            continue
-        got = model.defect(p)
-        n += k >= 0
-        right += k >= 0 and got == pairs.DEFECTS[k]
-        missed += k >= 0 and got is None
-        wrong += k == -1 and got is not None
-    assert n > 150 and right / n > 0.95 and wrong <= 0.02 * len(raw)
+@pytest.fixture(scope="module")
+def model():
+    return pairs.train(held_out())
+
+
+def test_classifier_on_held_out_rows(model):
+    got, y = pairs.labelled(held_out(200, seed=77), 78, 1)
+    said = [model.defect(p) for p in got]
+    for k, d in enumerate(pairs.DEFECTS):
+        mine = [s for s, row in zip(said, y, strict=True) if row[k]]
+        assert mine and sum(s == d for s in mine) >= 0.9 * len(mine), d
+    every = [s == pairs.DEFECTS[row.argmax()] for s, row in zip(said, y, strict=True) if row.any()]
+    assert sum(every) > 0.95 * len(every)
+    clean = [s for s, row in zip(said, y, strict=True) if not row.any()]
+    assert sum(s is not None for s in clean) <= 0.02 * len(clean)
+
+
+def test_decisions(model):
+    q = "Which of the mills near Alpha was built by Beta and sold to the Gamma estate?"
+    hit = lambda t, g=None, ans=False: model.defect(pairs.Pair(q, t, g, ans, {}))
+    for t in (None, "", " \n", "...", "none", "N/A", "```\n```", "<answer></answer>", "[[ ## reasoning ## ]]\n\n[[ ## completed ## ]]", "​", "<b> - </b>" * 60):
+        assert hit(t) == "empty"
+    for t in (q, q.upper(), "Q: " + q, q + "\n" + q, " ".join(q.split()[6:] + q.split()[:6])):
+        assert hit(t) == "copies_question"
+    assert hit(q + " It is Delta Omega.", "Delta Omega") != "copies_question"
+    assert hit("Die alte Mühle wurde am 1. Mai eröffnet und ist nicht mehr da.") == "other_language" and hit("Башня построена в 1801 году.") == "other_language"
+    assert hit("The mill was built by Be") == "truncated" and hit("12.5", "12.57 m", True) == "truncated" and hit("12.57 m", "12.57 m", True) is None
+
+
+def test_cuts_end_in_every_script():
+    for t in ("หอคอยนี้สร้างขึ้นเมื่อนานมาแล้วและยังคงตั้งอยู่ที่เดิมจนถึงทุกวันนี้ ", "这座灯塔真高！" * 20, "بني الجسر عام قديم جدا" * 8, "यह पुल बहुत पुराना है! " * 8, "?! " * 40):
+        for seed in range(100):
+            pairs.synthesize([{"question": "Who?", "intact": "x", "final_answer_sql": "x", "llm_generated_reasoning_traces": t}], seed)
+
+
+def test_a_table_of_five_rows_is_judged(spark):
+    rows = held_out(5)
+    df = spark.createDataFrame([(r["seq"], r["sample_id"], r["question"], r["final_answer_sql"], None if r["seq"] == 2 else r["llm_generated_reasoning_traces"]) for r in rows], "seq bigint, sample_id bigint, question string, final_answer_sql string, llm_generated_reasoning_traces string")
+    assert {(r.seq, r.defect) for r in pairs.broken_pairs(df).collect()} == {(2, "empty")}
 
 
 def test_broken_pairs_on_rows(spark):
@@ -287,8 +300,7 @@ def test_broken_pairs_on_rows(spark):
     assert pairs.broken_pairs(df.limit(0), gold).count() == 0
 
 
-def test_refusal_counts_wherever_it_stands():
-    model = pairs.train(held_out())
+def test_refusal_counts_wherever_it_stands(model):
     q = "Which of the mills near Marnevan was built by Teltimen and sold to the Borlazar estate?"
     said = "I'm sorry, but I cannot answer this question."
     why = [f"Document {i} describes the mill at Kesropen and its {i} gates in some detail, and the next one lists its owners." for i in range(2, 7)]
@@ -298,9 +310,9 @@ def test_refusal_counts_wherever_it_stands():
     assert model.defect(pairs.Pair(q, " ".join(why), "Dolnevan", False, {})) is None
 
 
-def test_long_responses_are_read_whole():
+def test_long_responses_are_read_whole(model):
     q = "Which of the mills near Alpha was built by Beta and sold to the Gamma estate before the old bridge at Delta was taken down?"
-    hit = lambda t: [d for d in pairs.DEFECTS if pairs.exact(d, pairs.Pair(q, t, None, False, {}))]
+    hit = lambda t: [model.defect(pairs.Pair(q, t, None, False, {}))]
     assert "copies_question" in hit(" ".join([q] * 5)) and "copies_question" in hit("\n".join([q.rstrip("?")] * 5))
     own = "The mill was built by the owner of the estate and it was sold in the year that the bridge was taken down. " * 8
     other = "Die alte Mühle wurde von der Gemeinde gekauft und ist nicht mehr in dem Ort, der sie für sich haben wollte. " * 200
