@@ -19,12 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm import lang, tails
+from tesserae.llm import lang, linear, tails
 from tesserae.session import if_small, spread, thinned
 
 TRAIN_ROWS = 2000  # natural rows, at most, that the classifier is fitted on
+TRAIN_CHARS = 20_000  # longer responses are judged, but not fitted on, so that the sample has a bound in bytes, too
 LEAST_ROWS = 1000  # rows that synthetic defects are made of, at least; fewer are used more than once
-HASH_BITS = 15
 SURE = 0.0  # log-odds of a defect above which a first fit on other rows takes a natural response for no negative
 DEFECTS = ["empty", "copies_question", "refusal", "other_language", "truncated"]
 FIELDS = ["final_answer_sql", "llm_generated_reasoning_traces"]
@@ -36,7 +36,6 @@ MISSING = re.compile(tails.MISSING.replace("(?i)", "^") + "$", re.I)
 PUNCT = re.compile(r"[\W_]+")
 NAME = re.compile(r"[A-ZÀ-Þ][^\W\d_]+")
 LABELS = set("q a question prompt query task frage aufgabe pregunta consulta the is asked original here again user".split()) | {"вопрос", "问题", "質問"}
-TOKEN = re.compile(r"[^\W_]+|[^\w\s]")
 SENT = re.compile(r"(?<=[.!?。！？।])\s+|\n+")
 #: Ways to decline, by language, that refused responses are made of: openings, cores, endings.
 DECLINE = {
@@ -57,10 +56,6 @@ FOREIGN = [
 ]
 
 
-def hashed(grams: set[str]) -> list[int]:
-    return sorted({zlib.crc32(g.encode()) & ((1 << HASH_BITS) - 1) for g in grams})
-
-
 def bare(text: str) -> str:
     return PUNCT.sub(" ", MARKUP.sub(" ", text)).strip()
 
@@ -167,20 +162,15 @@ class Pair:
             head, _, rest = s.strip().partition(" ")
             w = ["9" if x.isdigit() else x for x in WORD.findall((head + " " + NAME.sub("xx", rest)).lower())]
             if w:
-                bags.append(hashed({" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}))
+                bags.append(linear.hashed({" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}))
         return bags
 
     def end_grams(self) -> list[int]:
-        """Hashed n-grams that end where the response does: its last 1 to 4 words and marks, names and numbers masked,
-        apart for responses that end with an answer."""
-        if self.void:
-            return []
-        w = ["9" if x.isdigit() else "xx" if NAME.fullmatch(x) else x.lower() for x in TOKEN.findall(self.tail[-200:])[-4:]]
-        mark = "$$" if self.given() else "$"
-        return hashed({mark + " ".join(w[-n:]) for n in range(1, len(w) + 1)})
+        """Hashed n-grams that end where the response does, apart for responses that end with an answer."""
+        return [] if self.void else tails.end_grams(self.tail, self.given())
 
 
-STATES = ["done", "open", "broken", "mark", "item", "thai", "loose"]
+STATES = [*tails.STATES, "loose"]
 N_DENSE = 16 + len(STATES)
 REFUSAL, TRUNCATED = DEFECTS.index("refusal"), DEFECTS.index("truncated")
 
@@ -191,7 +181,7 @@ class Model:
 
     def __init__(self) -> None:
         self.dense = np.zeros((len(DEFECTS), N_DENSE + 1), np.float64)
-        self.hashed = np.zeros((2, 1 << HASH_BITS), np.float64)
+        self.hashed = np.zeros((2, 1 << linear.BITS), np.float64)
         self.threshold = np.zeros(len(DEFECTS))
 
     def scores(self, p: Pair) -> np.ndarray:
@@ -257,16 +247,11 @@ class Model:
         the middle of the widest such gap."""
         z = np.asarray([self.scores(p) for p in pairs])
         for k in range(len(DEFECTS)):
-            pos, neg = np.sort(z[labels[:, k] == 1, k]), np.sort(z[labels[:, k] == 0, k])
+            pos, neg = z[labels[:, k] == 1, k], z[labels[:, k] == 0, k]
             if not len(pos):
                 self.threshold[k] = 1e9
                 continue
-            at = np.unique(np.concatenate([pos, neg]))
-            cuts = np.concatenate([at[:1] - 1, 0.5 * (at[1:] + at[:-1])])
-            errors = np.searchsorted(pos, cuts, "left") / len(pos) + 1 - np.searchsorted(neg, cuts, "left") / max(1, len(neg))
-            width = np.concatenate([[0.0], np.diff(at)])
-            best = np.flatnonzero(errors == errors.min())
-            self.threshold[k] = cuts[best[width[best].argmax()]]
+            self.threshold[k] = linear.threshold(pos, neg)
         return self
 
 
@@ -377,7 +362,7 @@ def with_intact(attempts: DataFrame, intact: DataFrame | None, key: str = "sampl
 def fit_pairs(rows: DataFrame, intact: DataFrame | None, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on the train_rows rows with the least hash of their key: a bounded sample that doesn't depend on file order."""
     cols = ["seq", "sample_id", "question", *FIELDS]
-    sample = thinned(rows, "seq", train_rows).select(*cols).where(F.col("seq").isNotNull()).orderBy(F.xxhash64("seq"), "seq").limit(train_rows)
+    sample = thinned(rows, "seq", train_rows).select(*cols).where(F.col("seq").isNotNull() & (F.coalesce(F.char_length(FIELDS[1]), F.lit(0)) + F.coalesce(F.char_length(FIELDS[0]), F.lit(0)) <= TRAIN_CHARS)).orderBy(F.xxhash64("seq"), "seq").limit(train_rows)
     return train([r.asDict() for r in with_intact(sample, intact).orderBy("seq").collect()])
 
 

@@ -29,18 +29,18 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.duplicate_groups(table(spark, d, "qar_records").select("seq", "question"))
 
 
-def _attempt_texts(spark: SparkSession, d: str) -> DataFrame:
-    gold = pairs.with_intact(table(spark, d, "attempts").select("seq", "sample_id", "setting", "question", *TRACES), table(spark, d, "merged_samples").select("sample_id", "final_answer_sql"))
-    return gold
+def _attempt_texts(spark: SparkSession, d: str) -> dict:
+    texts = table(spark, d, "attempts").select("seq", "sample_id", "setting", "question", *TRACES)
+    return {"df": texts, "columns": TRACES, "intact": table(spark, d, "merged_samples").select("sample_id", "final_answer_sql"), "prompt": "question"}
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    cut, _ = truncation.cut_values(_attempt_texts(spark, d), TRACES, intact="intact", prompt="question")
+    cut, _ = truncation.cut_values(**_attempt_texts(spark, d))
     return cut.select("seq", "field")
 
 
 def p4_share(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.cut_share(_attempt_texts(spark, d), TRACES, intact="intact", prompt="question").withColumnRenamed("source", "setting")
+    return truncation.cut_share(**_attempt_texts(spark, d)).withColumnRenamed("source", "setting")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tesserae.llm import linear
+
 TAIL_CHARS = 400  # what is read of a text's end; a property of the last sentence, so no text is cut short by it
 
 TERMINAL = ".!?。！？।؟۔｡॥"
@@ -74,6 +76,20 @@ def broken_answer(tail: str, intact: str) -> bool:
     return prefix_of(said, intact.rstrip(". "))
 
 
+#: What look() tells ends apart as.
+STATES = ["done", "open", "broken", "mark", "item", "thai"]
+TOKEN = re.compile(r"[^\W_]+|[^\w\s]")
+ONE_NAME = re.compile(r"[A-ZÀ-Þ][^\W\d_]+")
+
+
+def end_grams(tail: str, given: bool) -> list[int]:
+    """Hashed n-grams that end where the text does: its last 1 to 4 words and marks, names and numbers masked; apart for
+    texts that end with an answer."""
+    w = ["9" if x.isdigit() else "xx" if ONE_NAME.fullmatch(x) else x.lower() for x in TOKEN.findall(tail[-200:])[-4:]]
+    mark = "$$" if given else "$"
+    return linear.hashed({mark + " ".join(w[-n:]) for n in range(1, len(w) + 1)})
+
+
 def states_answer(tail: str) -> bool:
     """Whether the last line says what the answer is."""
     line = tail.rstrip().rsplit("\n", 1)[-1]
@@ -95,7 +111,7 @@ def look(tail: str, intact: str | None) -> tuple[str, str, str]:
         return "done", "", ""
     whole = (intact or "").strip()
     line, before, seg = last_segments(t)
-    bt = template(before)[:60]
+    bt = template(before)
     if "�" in t[-3:]:
         return "broken", "", bt
     if whole and len(whole) > 0 and (t.endswith(whole) or t.rstrip(".。 ").endswith(whole.rstrip(". "))):
@@ -122,13 +138,13 @@ def look(tail: str, intact: str | None) -> tuple[str, str, str]:
             w = word.group(1).lower().lstrip("([\"'“„«") if word else ""
             if w in ABBREVIATIONS or (len(w) == 1 and w.isalpha() and w.isascii() and word.group(1)[-1].isupper()):
                 return "broken", "", bt
-        return "done", template(seg)[:60], bt
+        return "done", template(seg), bt
     if t.endswith("|") or t.endswith("```"):
         return "done", "", bt
     if raw.endswith((" ", "\n")) and t[-1].isalnum() and not LIST_RE.match(line):
-        return "open", template(seg)[:60], bt
+        return "open", template(seg), bt
     if LIST_RE.match(line) and len(line.split()) >= 2:
         return "item", "", bt
     if "฀" <= t[-1] <= "๿":
         return "thai", "", bt
-    return "open", template(seg)[:60], bt
+    return "open", template(seg), bt
