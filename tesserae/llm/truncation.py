@@ -11,6 +11,7 @@ that ends a fixed share of its values and starts no longer sentence.
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -35,25 +36,26 @@ SLIM = "field string, text_id bigint, n_chars int, n_bytes int, echo boolean, te
 def void(c: str) -> Column:
     """Null, or nothing but blanks, punctuation, markup, section markers or a word for a missing value."""
     bare = F.trim(F.regexp_replace(F.regexp_replace(F.col(c), MARKUP, " "), r"[^\p{L}\p{N}]+", " "))
-    return F.col(c).isNull() | (bare == "") | bare.rlike(f"^{MISSING}$")
+    plain = ~(F.contains(c, F.lit("<")) | F.contains(c, F.lit("[[")) | F.contains(c, F.lit("```")))
+    said = plain & F.col(c).rlike(r"[\p{L}\p{N}](?:[^\p{L}\p{N}]*[\p{L}\p{N}]){14}")  # no word for a missing value is as long
+    return F.col(c).isNull() | F.when(said, False).otherwise((bare == "") | bare.rlike(f"^{MISSING}$"))
 
 
-def words(c: str) -> Column:
-    return F.split(F.lower(F.col(c)), r"[^\p{L}\p{N}]+")
+WORD = re.compile(r"[^\W_]+")
+LABEL = re.compile(r"^[\w ]{1,25}: ")
+LAST = re.compile(r"[\s…�.?!\"”“]+$")
 
 
-def echo(c: str, prompt: str | None) -> Column:
-    """Whether the value only repeats or reorders its prompt; such a value ends where the prompt was broken, not cut."""
-    if prompt is None:
-        return F.lit(False)
-    w = words(c)
-    foreign = F.size(F.array_except(w, F.concat(words(prompt), F.array(F.lit("")))))
-    whole = F.char_length(c) >= 0.75 * F.char_length(prompt)
-    ends = r"[\s…�.?!\"”“]+$"
-    a = F.lower(F.regexp_replace(F.regexp_replace(F.trim(c), r"^[\w ]{1,25}: ", ""), ends, ""))
-    b = F.lower(F.regexp_replace(F.trim(prompt), ends, ""))
-    cut = a.startswith(F.substring(b, 1, 25)) & (a != b)  # begins as the prompt does, but isn't the whole of it
-    return F.coalesce(F.when(whole, (foreign <= F.size(w) * 0.08) & ~cut).otherwise(False), F.lit(False))
+def echoes(text: str, prompt: str | None) -> bool:
+    """Whether the text only repeats or reorders its prompt; such a text ends where the prompt was broken, not cut. One
+    that begins as the prompt does, but isn't the whole of it, is no echo."""
+    if not prompt or len(text) < 0.75 * len(prompt):
+        return False
+    w = WORD.findall(text.lower())
+    if len(set(w).difference(WORD.findall(prompt.lower()))) > 0.08 * len(w):
+        return False
+    a, b = LAST.sub("", LABEL.sub("", text.strip())).lower(), LAST.sub("", prompt.strip()).lower()
+    return a == b or not a.startswith(b[:25])
 
 
 def end_of(tail: str, intact: str | None) -> tuple[bool, str, str, str, bool, bool, list[int]]:
@@ -66,7 +68,8 @@ def end_of(tail: str, intact: str | None) -> tuple[bool, str, str, str, bool, bo
 
 
 def values(df: DataFrame, columns: Sequence[str], keep: Sequence[str], source: str, prompt: str | None) -> DataFrame:
-    """One slim row per non-empty value: its lengths and its end; the texts themselves go no further."""
+    """One row per non-empty value: its lengths, its end, and, if it has no terminal mark, the whole to hold against its prompt."""
+    asked = F.col(prompt) if prompt else F.lit(None).cast("string")
 
     def part(c: str) -> Column:
         return F.struct(
@@ -76,11 +79,11 @@ def values(df: DataFrame, columns: Sequence[str], keep: Sequence[str], source: s
             F.octet_length(c).alias("n_bytes"),
             F.expr(f"right(`{c}`, {TAIL_CHARS})").alias("tail"),
             void(c).alias("blank"),
-            echo(c, prompt).alias("echo"),
+            (F.when(~F.expr(f"right(rtrim(' \t\r\n', `{c}`), 1)").isin(list(tails.TERMINAL)), F.col(c)) if prompt else F.lit(None).cast("string")).alias("full"),
         )
 
-    long = df.select(*keep, F.coalesce(F.col(source), F.lit("")).alias("source"), F.explode(F.array(*map(part, columns))).alias("v"))
-    return long.select(*keep, "source", "v.*").where(~F.col("blank")).drop("blank")
+    long = df.select(*keep, F.coalesce(F.col(source), F.lit("")).alias("source"), asked.alias("asked"), F.explode(F.array(*map(part, columns))).alias("v"))
+    return long.select(*keep, "source", "asked", "v.*").where(~F.col("blank")).drop("blank")
 
 
 def ends(v: DataFrame, key: str) -> DataFrame:
@@ -88,9 +91,12 @@ def ends(v: DataFrame, key: str) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [end_of(t, g) for t, g in zip(b["tail"].tolist(), b["intact"].tolist(), strict=True)]
-            got = pd.DataFrame(rows, columns=["terminal", "state", "tpl", "before", "given", "whole", "grams"], index=b.index)
-            yield pd.concat([b[[key, "source", "field", "text_id", "n_chars", "n_bytes", "echo"]], got], axis=1)[[key, "source", *(x.split()[0] for x in SLIM.split(", "))]]
+            rows = []
+            for t, g, full, asked in zip(*(b[c].tolist() for c in ("tail", "intact", "full", "asked")), strict=True):
+                e = end_of(t, g)
+                rows.append((e[1] == "open" and full is not None and echoes(full, asked), *e))
+            got = pd.DataFrame(rows, columns=["echo", "terminal", "state", "tpl", "before", "given", "whole", "grams"], index=b.index)
+            yield pd.concat([b[[key, "source", "field", "text_id", "n_chars", "n_bytes"]], got], axis=1)[[key, "source", *(x.split()[0] for x in SLIM.split(", "))]]
 
     return v.mapInPandas(read, f"{key} {dict(v.dtypes)[key]}, source string, {SLIM}")
 
@@ -246,7 +252,7 @@ def cut_values(df: DataFrame, columns: Sequence[str], key: str = "seq", source:
     j = j.join(if_small(spikes(v, "n_bytes").withColumnRenamed("limit", "b_limit")), ["source", "field"], "left")
     at_limit = F.coalesce(F.col("n_chars") == F.col("c_limit"), F.lit(False)) | F.coalesce(F.col("n_bytes") == F.col("b_limit"), F.lit(False))
     by_limit = at_limit & ~F.col("terminal") & ~F.col("whole")
-    cut = j.where((by_limit | F.col("open")) & ~(F.col("echo") & (F.col("state") == "open")))
+    cut = j.where((by_limit | F.col("open")) & ~F.col("echo"))
     return cut.select(key, "source", "field", F.when(by_limit, "limit").otherwise("transfer").alias("cause")), v.select("source", "field")
 
 
