@@ -13,8 +13,9 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +41,29 @@ MARKER = re.compile(r"\s*(?:[-*•‣▪–—]\s|(\d{1,3})[.)]\s)")
 HEADING = re.compile(r"\s*#{1,6}\s")
 ROW = re.compile(r"\s*\|")
 LABEL = re.compile(r"\s*(?:\*\*)?(?:(?:step|schritt|étape|paso|passo|шаг)\s*\d+|question|answer|q|a|frage|antwort|pregunta|respuesta|réponse|вопрос|ответ|问题|问|答案|答|質問|回答|प्रश्न|उत्तर|سؤال|جواب|คำถาม|คำตอบ)(?:\*\*)?\s?[:：]", re.I)
-WORD_BEFORE = re.compile(r"(\S+)$")
-WORD_AFTER = re.compile(r"\s*(\S+)")
+TERM = re.compile(f"[{re.escape(TERMINAL)}]")
+SPARSE = re.compile(f"[{UNPUNCTUATED}]")
+CAPITAL = re.compile("[A-ZÀ-ÞА-Я]")
 OPENERS, SHUTTERS = "“„«「『(（", "”»」』)）"
 QUOTES, BRACKETS = tuple("\"'”’“»」』›"), tuple(")）]")
+MARKS = re.compile(f'["{OPENERS}{SHUTTERS}]')
 DIGIT = re.compile(r"\d")
 BLANKS = " \u00a0\u202f\u3000"
 HASH = 1 << 18
+CACHED = 200_000  # hashed features that a task keeps
+#: Sentences that the tagger learns from beside the corpus's own list items, so that it works without any.
+SEEDS = [
+    ["Dr. Hale measured the tower at about 4.5 metres.", "The old mill was sold in 1871.", "Who paid for the new roof?", "“It was cold,” the clerk wrote, “and nobody came.”", "The owner (see Fig. 3) lived near St. Mary.", "What a long bridge!", "It has 3,400 stones, i.e. more than the other one.", "Mr. J. Bell later moved to the U.S. archive."],
+    ["Dr. Berger schätzte die Höhe auf ca. 7,5 m.", "Die Mühle wurde am 3. Mai 1871 verkauft.", "Wer hat das Dach bezahlt?", "„Es war kalt“, schrieb der Müller, „und niemand kam.“", "Nach Abb. 4 lag das Haus am Fluss.", "Was für eine lange Brücke!", "Dort stehen z. B. noch zwei Türme."],
+    ["Le Dr Morel cite p. ex. la halle du village.", "La vieille tour fut vendue en 1871.", "Qui a payé le toit ?", "« Il faisait froid », écrit M. Petit.", "Le pont compte 3,5 arches de plus.", "Quelle longue digue !"],
+    ["El Sr. Ruiz midió una altura de 7,5 m.", "La torre vieja se vendió en 1871.", "¿Quién pagó el tejado?", "¡Qué puente tan largo!", "«Hacía frío», escribió la Dra. Vega.", "El gasto subió a unas 3.400 coronas, es decir, mucho."],
+    ["Башня построена в 1871 г. и стоит до сих пор.", "Кто оплатил крышу?", "«Было холодно», — писал мастер.", "Высота составляет 7,5 м, т. е. больше прежней.", "Какой длинный мост!"],
+    ["这座塔建于1871年。", "谁支付了屋顶的费用？", "“天很冷。没有人来。”工匠写道。", "这座桥真长！", "高度约为7.5米。"],
+    ["この塔は1871年に建てられた。", "誰が屋根の費用を払ったのか？", "「寒かった。誰も来なかった」と職人は書いた。", "なんと長い橋だろう！", "高さは7.5メートルである。"],
+    ["بني البرج عام 1871.", "من دفع ثمن السقف؟", "«كان الجو باردا»، كتب العامل.", "ما أطول هذا الجسر!"],
+    ["यह मीनार 1871 में बनी थी।", "छत का खर्च किसने दिया?", "“ठंड थी।” डॉ. राव ने लिखा।", "कितना लंबा पुल है!"],
+    ["หอคอยนี้สร้างเมื่อ 1871", "ใครเป็นผู้จ่ายค่าหลังคา", "ความสูงคือ 7.5 เมตรตามบันทึก", "สะพานนี้ยาวมาก"],
+]
 
 
 def shape(ch: str, nxt: str) -> str:
@@ -84,7 +101,7 @@ def lines_of(text: str) -> Iterator[tuple[int, int, str]]:
         end = at + len(line)
         if BLANK.match(line):
             kind = "blank"
-        elif HEADING.match(line) or ROW.match(line) or LABEL.match(line):
+        elif ("#" in line and HEADING.match(line)) or ("|" in line and ROW.match(line)) or ((":" in line or "：" in line) and LABEL.match(line)):
             kind = "unit"
         elif before != "text" and MARKER.match(line):
             kind = "unit"
@@ -113,26 +130,57 @@ def spans_of(text: str) -> Iterator[tuple[int, int, bool]]:
         yield start, last, False
 
 
+def candidates(p: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what CANDIDATE finds. Outside the scripts that part sentences by blanks every candidate is at a
+    terminal mark, so only those are tried."""
+    if SPARSE.search(p):
+        yield from (m.span() for m in CANDIDATE.finditer(p))
+        return
+    at = 0
+    while m := TERM.search(p, at):
+        i = m.start()
+        c = CANDIDATE.match(p, i)
+        if c and c.end() > i:
+            yield c.span()
+            at = c.end()
+            continue
+        at = i + 1
+        if i and p[i] in ".!?" and p[i - 1].isdecimal() and CAPITAL.match(p, at):  # a blank left out after a number
+            yield at, at
+
+
+_HASHES: dict[tuple, list[int]] = {}
+
+
+def hashes(key: tuple, feats: Callable[[], list[str]]) -> list[int]:
+    """The hashed features that a combination of properties stands for."""
+    got = _HASHES.get(key)
+    if got is None:
+        if len(_HASHES) >= CACHED:
+            _HASHES.clear()
+        got = _HASHES[key] = [zlib.crc32(f.encode()) % HASH for f in feats()]
+    return got
+
+
 def places(p: str) -> list[tuple[int, int, list[int]]]:
     """(end of the sentence there, start of what follows, hashed features) of every possible boundary inside p."""
     out = []
     depth, at = 0, 0
     ascii_q = 0
     prev_end = 0
-    for m in CANDIDATE.finditer(p):
-        s, e = m.start(), m.end()
-        mark = m.group(0)
+    for s, e in candidates(p):
+        mark = p[s:e]
         blank = bool(mark) and mark[0] in BLANKS
         if blank:
             end, nxt = s, e
         else:
-            end = e
-            nxt = e
+            end = nxt = e
             while nxt < len(p) and p[nxt].isspace():
                 nxt += 1
         if nxt >= len(p):
             break
-        for ch in p[at:e]:
+        for m in MARKS.finditer(p, at, e):
+            ch = m.group()
             if ch in OPENERS and not (ch == "“" and depth > 0 and "„" in p[at:e]):
                 depth += 1
             elif ch in SHUTTERS or ch == "“":
@@ -142,26 +190,26 @@ def places(p: str) -> list[tuple[int, int, list[int]]]:
         at = e
         gap = p[end:nxt]
         g = "none" if not gap else "nl" if "\n" in gap else "two" if len(gap) > 1 else "one"
-        wb = WORD_BEFORE.search(p[max(0, s - 24) : s] if not blank else p[max(0, s - 24) : s])
-        before = wb.group(1) if wb else ""
-        wa = WORD_AFTER.match(p, nxt)
-        after = wa.group(1)[:16] if wa else ""
+        near = p[max(0, s - 24) : s]
+        before = near.rsplit(None, 1)[-1] if near and not near[-1].isspace() else ""
+        after = p[nxt : nxt + 16].split(None, 1)[0].lower()
         c, d = p[nxt], p[nxt + 1] if nxt + 1 < len(p) else ""
         sh = shape(c, d)
         inner = "n" if before[-1:].isdigit() else "1" if len(before) == 1 else "." if "." in before else "U" if before[:1].isupper() else "w"
         if blank:
             inner = "digit" if (before[-1:].isdigit() or c.isdigit()) else "text"
         core = mark.strip(BLANKS)
-        end_kind = "blank" if blank else (core[:1] or ".") + ("..." if core.startswith("...") else "") + ("q" if core[-1:] in QUOTES else ")" if core[-1:] in BRACKETS else "")
-        low = DIGIT.sub("9", before.lower().lstrip("([\"“„«'")[-12:])
-        quote = f"{min(depth, 2)}{ascii_q}"
-        feats = [
-            "b", f"k{end_kind}", f"s{sh}", f"g{g}", f"ks{end_kind}|{sh}", f"kg{end_kind}|{g}", f"i{inner}|{sh}|{end_kind}", f"q{quote}|{end_kind}", f"q{quote}|{sh}|{end_kind}",
-            f"w{low}|{end_kind}" if not blank else f"x{inner}", f"ws{low}|{sh}" if not blank else f"xs{inner}|{sh}", f"a{after.lower()}|{end_kind}", f"sp{before[-1:] == ''}|{end_kind}",
-        ]
+        k = "blank" if blank else (core[:1] or ".") + ("..." if core.startswith("...") else "") + ("q" if core[-1:] in QUOTES else ")" if core[-1:] in BRACKETS else "")
+        low = DIGIT.sub("9", before.lower().lstrip("([\"'“„«'")[-12:])
+        q = f"{min(depth, 2)}{ascii_q}"
+        feats = (
+            hashes((k, sh, g, inner, q, before == ""), lambda: ["b", f"k{k}", f"s{sh}", f"g{g}", f"ks{k}|{sh}", f"kg{k}|{g}", f"i{inner}|{sh}|{k}", f"q{q}|{k}", f"q{q}|{sh}|{k}", f"sp{before == ''}|{k}"])  # noqa: B023
+            + hashes((k, sh, inner if blank else low, blank), lambda: [f"x{inner}", f"xs{inner}|{sh}"] if blank else [f"w{low}|{k}", f"ws{low}|{sh}"])  # noqa: B023
+            + hashes((k, after), lambda: [f"a{after}|{k}"])  # noqa: B023
+        )
         gap_class = min(6, (end - prev_end) // 8)
         prev_end = end
-        out.append((end, nxt, [zlib.crc32(f.encode()) % HASH for f in feats], gap_class))
+        out.append((end, nxt, feats, gap_class))
     return out
 
 
@@ -328,17 +376,14 @@ def fit_tagger(docs: DataFrame, key: str = "doc_id", text: str = "text", train_d
 
     rows = picked.mapInPandas(take, f"k {dict(docs.dtypes)[key]}, items array<string>").where(F.size("items") > 0).collect()
     tagger = Tagger()
-    pooled = [list(r["items"]) for r in sorted(rows, key=lambda r: r["k"])]
-    if pooled:
-        tagger.train(synthesize(pooled))
-    return tagger
+    return tagger.train(synthesize(SEEDS + [list(r["items"]) for r in sorted(rows, key=lambda r: r["k"])]))
 
 
 def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", tagger: Tagger | None = None) -> DataFrame:
     """(key, start_pos, end_pos): every sentence of every text, in code points.
 
-    Null, empty and blank texts have none. Repeated rows come out each. Without list items to train on (an empty or tiny
-    table) nothing inside a paragraph is a boundary.
+    Null, empty and blank texts have none. Repeated rows come out each. A corpus without list items is tagged by what the
+    seeds teach.
     """
     tagger = tagger or fit_tagger(docs, key, text)
     shared = docs.sparkSession.sparkContext.broadcast((tagger.w, tagger.t))  # at most HASH weights
@@ -347,9 +392,8 @@ def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", tagger:
         t = Tagger()
         t.w, t.t = shared.value
         for b in batches:
-            out = []
-            for k, s in zip(b[key].tolist(), b[text].tolist(), strict=True):
-                out += [(k, a, z) for a, z in split(s, t)]
-            yield pd.DataFrame(out, columns=[key, "start_pos", "end_pos"])
+            spans = [split(s, t) for s in b[text].tolist()]
+            flat = np.asarray([x for one in spans for x in one], np.int32).reshape(-1, 2)
+            yield pd.DataFrame({key: b[key].repeat([len(one) for one in spans]).to_numpy(), "start_pos": flat[:, 0], "end_pos": flat[:, 1]})
 
     return spread(docs.where(F.col(text).isNotNull()).select(key, text)).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, start_pos int, end_pos int")
