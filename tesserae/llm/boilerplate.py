@@ -1,11 +1,13 @@
 """Page boilerplate mixed with main content: consensus paths per host.
 
-A page's containers are its lines, in the blocks that blank lines part. Each gets a generalised path: its kind of
-container (heading, table, paragraph, list item, link, crumb, attributed comment, short line ...) and the masked template
+A page's containers are its lines, in the blocks that blank lines part. Each gets a generalised path: its part of the
+page (before, among or after the running prose), the make of its block (links, entries, short lines, prose, mixed), its
+own kind (heading, table, paragraph, list item, link, crumb, attributed comment, short line ...) and the masked template
 of its text. Containers are scored on each page: running prose scores high, link lists, short lines and blocks around
 them low. The scores are votes on the path, pooled in Spark per host and over all hosts, copies of a page counting once;
-sentences that prose is made of anywhere count as prose wherever they stand. Pages are then read again by the winning
-paths: a line stays if its path won.
+sentences that prose is made of anywhere count as prose wherever they stand, and prose that a host repeats on its pages
+doesn't. Pages are then read again by the winning paths: a line stays if its path won. The documents of a context take
+part with the host of the article that their title names.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.session import spread
+from tesserae.session import cut_lineage, if_small, spread
 
 PRIOR = 3.0  # weight of the vote over all hosts against a host's own votes
-TITLES = 5  # a short line that so many different texts follow is no title
+TITLE_LEAST, TITLE_SHARE = 5, 0.001  # a short line that so many different texts, as a share of all pages, follow is no title
+KNOWN_LEAST, KNOWN_SHARE = 2, 0.00001  # times that a sentence template stands in running prose, as a share of all pages, to be known
+REPEAT_LEAST, REPEAT_SHARE = 3, 0.3  # different pages of a host, as a share of them, that prose stands on to be furniture
 KNOWN = 0.34  # share of a line's sentences that must be known prose
-PROSE_SENTENCES, PROSE_CHARS = 3, 120  # a line with as many sentences and characters is prose for certain
+PROSE_SENTENCES, PROSE_CHARS = 3, 120  # a line with as many sentences and characters scores as running prose
 
 SENT = re.compile(r"(?<=[.!?…。！？।؟])[\"”’“»)\]]*(?:\[\d+\])?\s+|(?<=[。！？])[”」』]?")
 TERM = re.compile(r"[.!?…。！？।؟][\"”’“»)\]」』]*(?:\s?»)?(?:\s?\[\d+\])*$")
@@ -49,7 +53,7 @@ def sentence_key(s: str) -> int:
     """What is left of a sentence without names, numbers and its first word: its template."""
     s = s.strip().rstrip(".!?…。！？।؟\"”’“»)] ")
     if not s.isascii() and WIDE.search(s):
-        return crc(DIGITS.sub("9", s)[-4:])
+        return crc(DIGITS.sub("9", s)[-4:])  # no blanks part words here: the predicate stands at the end
     w = s.split()
     if len(w) < 2:
         return crc(DIGITS.sub("9", s).lower())
@@ -83,16 +87,28 @@ def kind_of(line: str) -> tuple[str, str]:
     return ("line" if prose else "short"), text
 
 
-def containers(text: str, title: str | None) -> list[tuple[int, str, int, list[int], float, int, bool]]:
-    """(line_no, kind, path, sentence keys, score, hash of the prose that follows, is prose for certain)."""
+LOW = {"link", "crumb", "entry", "short", "notice", "attributed"}
+
+
+def make_of(kinds: list[str]) -> str:
+    """What a block is made of."""
+    for name, group in (("links", {"link"}), ("entries", {"entry", "link"}), ("shorts", {"short", "crumb", "notice"}), ("prose", {"line", "item"}), ("rows", {"table", "sep", "heading"})):
+        if group.issuperset(kinds):
+            return name
+    return "mixed"
+
+
+def containers(text: str, titles: set[str]) -> list[tuple[int, str, int, list[int], float, int]]:
+    """(line_no, kind, path, sentence keys, score, hash of the prose that follows) of every line that isn't blank. The
+    path of running prose is the hash of its text, so that only a repetition of the very line speaks against it."""
     out = []
-    lines = [x.strip() for x in text.replace(" ", " ").split("\n")]
+    lines = [x.strip() for x in text.replace("\xa0", " ").split("\n")]
     kinds = [kind_of(x) if x else ("", "") for x in lines]
     n = len(lines)
     parts = [[s for s in SENT.split(t) if s and s.strip()] if k in ("line", "item") else [] for k, t in kinds]
     prose = [k == "line" and len(t) >= PROSE_CHARS and len(p) >= PROSE_SENTENCES for (k, t), p in zip(kinds, parts, strict=True)]
     following, last = [0] * n, 0
-    ahead, more = [False] * n, False  # whether certain prose follows in the same document
+    ahead, more = [False] * n, False  # whether running prose follows in the same document
     for i in range(n - 1, -1, -1):
         if kinds[i][0] == "sep":
             last, more = 0, False
@@ -100,9 +116,7 @@ def containers(text: str, title: str | None) -> list[tuple[int, str, int, list[i
         more = more or prose[i]
         if prose[i] or (kinds[i][0] in ("line", "item") and len(kinds[i][1]) > 40):
             last = crc(lines[i])
-    low = {"link", "crumb", "entry", "short", "notice", "attributed"}
     start, passed = 0, False
-    folded = title.strip().lower() if title else None
     while start < n:
         if not lines[start]:
             start += 1
@@ -111,98 +125,128 @@ def containers(text: str, title: str | None) -> list[tuple[int, str, int, list[i
         while end < n and lines[end]:
             end += 1
         block = range(start, end)
-        poor = sum(kinds[i][0] in low for i in block)
+        poor = sum(kinds[i][0] in LOW for i in block)
+        make = make_of([kinds[i][0] for i in block])
         for i in block:
             kind, t = kinds[i]
             if DOCUMENT.match(lines[i]):
                 passed = False
+            where = "among" if passed and ahead[i] else "after" if passed else "before"
+            keys: list[int] = []
             if kind in ("sep", "heading", "table"):
-                out.append((i + 1, kind, crc(kind), [], 1.0, 0, True))
-                continue
-            if prose[i]:
+                mask, score = "", 1.0
+            elif prose[i]:
                 passed = True
-                out.append((i + 1, kind, crc("prose"), [sentence_key(s) for s in parts[i]], 1.0, 0, True))
+                out.append((i + 1, "prose", crc(lines[i]), [sentence_key(s) for s in parts[i]], 1.0, following[i]))
                 continue
-            keys: list[int] = []
-            if kind in ("line", "item"):
+            elif kind in ("line", "item"):
                 keys = [sentence_key(s) for s in parts[i]]
-                score = -0.5 if poor else 0.4 if passed and ahead[i] else -0.2  # at a page's edge prose is as likely as furniture
+                score = -0.5 if poor else 0.4 if where == "among" else -0.2  # at a page's edge prose is as likely as furniture
                 if kind == "item" and not poor:
                     score = 0.6
-                path = crc(f"{kind}|" + ",".join(map(str, keys[:1])))
+                mask = ",".join(map(str, keys))
             elif kind == "short":
-                path = crc("short|" + DIGITS.sub("9", t.lower()))
-                if folded and t.lower() == folded:
+                mask = DIGITS.sub("9", t.lower())
+                if t.lower() in titles:
                     kind, score = "title", 1.0
                 elif end - start == 1 and not passed and t[:1].isupper() and not DIGITS.search(t) and all(w[:1].isupper() or len(w) < 4 for w in t.split()):
                     kind, score = "title?", 0.5
                 else:
                     score = -0.7
             else:
-                path = crc(f"{kind}|" + (DIGITS.sub("9", NAME.sub("N", t))[:40] if kind == "notice" else ""))
+                mask = DIGITS.sub("9", NAME.sub("N", t)) if kind == "notice" else ""
                 score = -0.7 if kind == "entry" else -1.0
-            out.append((i + 1, kind, path, keys, score, following[i], False))
+            # a masked text tells more than its place; a line that may be a title has the path of the short line that it is
+            place = "short" if kind in ("short", "title", "title?") else kind if kind in ("line", "item") else f"{where}/{make}/{kind}"
+            out.append((i + 1, kind, crc(f"{place}|{mask}"), keys, score, following[i]))
         start = end
     return out
 
 
-SCHEMA = "place string, item_key string, host string, line_no int, kind string, path bigint, keys array<bigint>, score double, next bigint, certain boolean"
+LINE = "struct<line_no: int, kind: string, path: bigint, keys: array<bigint>, score: double, next: bigint>"
+SCHEMA = f"place string, item_key string, host string, page bigint, lines array<{LINE}>"
+TITLE = re.compile(r"^\s*(?:#{1,6}\s|\*\*Document Title\*\*: )?\s*(.*?)\s*$")
+
+
+def documents(text: str, hosts: dict[str, str]) -> list[tuple[int, str]]:
+    """(first line, host) of the documents of a page: a text without document labels is one."""
+    out, seen = [(1, "")], False
+    for i, line in enumerate(text.split("\n"), 1):
+        if DOCUMENT.match(line.strip()):
+            out.append((i, ""))
+            seen = False
+        elif not seen and (h := hosts.get(TITLE.match(line).group(1).lower())):
+            out[-1] = (out[-1][0], h)
+            seen = True
+    return out
 
 
 def scored(pages: DataFrame) -> DataFrame:
-    """Every non-blank line of (place, item_key, host, title, text) as a scored container."""
+    """The documents of every page, with their lines as scored containers, and `page`, a hash of their running prose.
+
+    pages: place, item_key, host, titles (array of title and host), text.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for place, item, host, title, text in zip(*(b[c].tolist() for c in ("place", "item_key", "host", "title", "text")), strict=True):
-                out += [(place, item, host, *c) for c in containers(text, title)]
-            yield pd.DataFrame(out, columns=["place", "item_key", "host", "line_no", "kind", "path", "keys", "score", "next", "certain"])
+            for place, item, host, titles, text in zip(*(b[c].tolist() for c in ("place", "item_key", "host", "titles", "text")), strict=True):
+                hosts = {t["title"].strip().lower(): t["host"] or "" for t in (titles if titles is not None else ()) if t["title"]}
+                found = containers(text, set(hosts))
+                starts = documents(text, hosts) if place == "context" else [(1, host)]
+                for (a, h), (z, _) in zip(starts, [*starts[1:], (1 << 31, "")], strict=True):
+                    own = [x for x in found if a <= x[0] < z]
+                    if own:
+                        said = ",".join(str(x[2]) for x in own if x[1] == "prose")
+                        out.append((place, item, h, crc(said), [dict(zip(("line_no", "kind", "path", "keys", "score", "next"), x, strict=True)) for x in own]))
+            yield pd.DataFrame(out, columns=["place", "item_key", "host", "page", "lines"])
 
     return spread(pages.where(F.col("text").isNotNull())).mapInPandas(run, SCHEMA)
 
 
-def prose_keys(lines: DataFrame) -> DataFrame:
-    """Sentence templates that stand in certain prose at least twice."""
-    k = lines.where("certain and size(keys) > 0").select(F.explode("keys").alias("key"))
-    return k.groupBy("key").agg(F.count("*").alias("n")).where("n >= 2").select("key")
-
-
 def furniture_lines(pages: DataFrame) -> DataFrame:
     """(place, item_key, line_no) of every non-blank line that isn't main body.
 
-    pages: place, item_key, host, title, text. Null and empty texts have no lines. A line is split off at LF and counted
+    pages: place, item_key, host, titles, text. Null and empty texts have no lines. A line is split off at LF and counted
     from 1. Pages without a host, or alone on theirs, are judged by the votes over all hosts. Repeated pages come out
-    each, but a repeated line votes once for the prose that follows it.
+    each, but a repeated line votes once for the prose that follows it. The result doesn't depend on the order of rows.
     """
-    lines = scored(pages).persist()
-    open_ = lines.where("not certain")
-    known = open_.where("size(keys) > 0").select("place", "item_key", "line_no", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
-    known = known.join(prose_keys(lines), "key", "left_semi").groupBy("place", "item_key", "line_no").agg(F.count("*").alias("n_known"))
-    votes = open_.groupBy("host", "path", "next").agg(F.first("score").alias("score"))
+    docs = cut_lineage(scored(pages))  # one row per document; the pages are read once
+    n_pages = docs.count()
+    lines = docs.select("place", "item_key", "host", "page", F.explode("lines").alias("l")).select("place", "item_key", "host", "page", "l.*")
+    prose, other = lines.where("kind = 'prose'"), lines.where("kind <> 'prose'")
+    votes = other.groupBy("host", "path", "next").agg(F.avg("score").alias("score"), F.max(F.col("kind").isin("title?", "short", "title").cast("int")).alias("short"))
     by_host = votes.groupBy("host", "path").agg(F.sum("score").alias("hs"), F.count("*").alias("hn"))
-    by_path = by_host.groupBy("path").agg(F.sum("hs").alias("gs"), F.sum("hn").alias("gn"))
-    by_host = by_host.where("host <> '' and hn > 1")
-    nexts = open_.where("kind in ('title?', 'short', 'title')").groupBy("path", "next").agg(F.count("*").alias("c")).groupBy("path").agg(F.count("*").alias("n_next"))
-    j = open_.select("place", "item_key", "host", "line_no", "kind", "path", "score", F.size("keys").alias("n_keys"))
-    j = j.join(by_path, "path", "left").join(nexts, "path", "left").join(by_host, ["host", "path"], "left").join(known, ["place", "item_key", "line_no"], "left")
-    overall = F.col("gs") / F.col("gn")
-    vote = (F.coalesce("hs", F.lit(0.0)) + PRIOR * overall) / (F.coalesce("hn", F.lit(0)) + PRIOR)
-    main = (
-        F.when(F.col("kind") == "title", True)
-        .when(F.col("kind") == "title?", F.col("n_next") < TITLES)
-        .when(F.col("kind").isin("line", "item") & (F.coalesce("n_known", F.lit(0)) >= F.greatest(F.lit(1.0), F.col("n_keys") * KNOWN)), True)
-        .otherwise(0.5 * F.col("score") + vote > 0)
-    )
-    return j.where(~main).select("place", "item_key", "line_no")
+    by_path = votes.groupBy("path").agg(F.sum("score").alias("gs"), F.count("*").alias("gn"), F.count_distinct(F.when(F.col("short") == 1, F.col("next"))).alias("n_next"))
+    j = other.drop("page", "next").join(if_small(by_path), "path", "left").join(if_small(by_host.where("host <> '' and hn > 1")), ["host", "path"], "left")
+    vote = (F.coalesce("hs", F.lit(0.0)) + PRIOR * F.col("gs") / F.col("gn")) / (F.coalesce("hn", F.lit(0)) + PRIOR)
+    main = F.when(F.col("kind") == "title", True).when(F.col("kind") == "title?", F.col("n_next") < max(TITLE_LEAST, TITLE_SHARE * n_pages)).otherwise(0.5 * F.col("score") + vote > 0)
+    lost = j.where(~main)
+    # lines that lost may still be made of sentences that running prose is made of
+    known = prose.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= max(KNOWN_LEAST, KNOWN_SHARE * n_pages)).select("key")
+    loose = lost.where(F.col("kind").isin("line", "item")).select("place", "item_key", "line_no", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
+    saved = loose.join(if_small(known), "key", "left_semi").groupBy("place", "item_key", "line_no", "n_keys").agg(F.count("*").alias("n")).where(F.col("n") >= F.greatest(F.lit(1.0), F.col("n_keys") * KNOWN))
+    out = lost.select("place", "item_key", "line_no", "kind")
+    out = out.where(~F.col("kind").isin("line", "item")).unionByName(out.where(F.col("kind").isin("line", "item")).join(saved, ["place", "item_key", "line_no"], "left_anti").select(out.columns))
+    # prose that a host carries on many of its pages
+    host_pages = docs.where("host <> ''").groupBy("host").agg(F.count_distinct("page").alias("pages"))
+    carried = prose.where("host <> ''").groupBy("host", "path").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= REPEAT_LEAST)
+    carried = carried.join(if_small(host_pages), "host").where(F.col("n") >= REPEAT_SHARE * F.col("pages")).select("host", "path")
+    return out.drop("kind").unionByName(prose.join(if_small(carried), ["host", "path"], "left_semi").select("place", "item_key", "line_no"))
 
 
 def article_pages(articles: DataFrame) -> DataFrame:
-    return articles.select(F.lit("article").alias("place"), F.col("basename").alias("item_key"), F.coalesce("site", F.lit("")).alias("host"), "title", F.col("page_text").alias("text"))
+    host = F.coalesce("site", F.lit(""))
+    return articles.select(F.lit("article").alias("place"), F.col("basename").alias("item_key"), host.alias("host"), F.array(F.struct("title", host.alias("host"))).alias("titles"), F.col("page_text").alias("text"))
 
 
-def context_pages(samples: DataFrame) -> DataFrame:
-    return samples.select(F.lit("context").alias("place"), F.col("sample_id").cast("string").alias("item_key"), F.lit("").alias("host"), F.lit(None).cast("string").alias("title"), F.col("context").alias("text"))
+def context_pages(samples: DataFrame, articles: DataFrame) -> DataFrame:
+    """Contexts with the titles and hosts of the articles that they name."""
+    named = samples.select("sample_id", F.explode("relevant_web_articles").alias("basename"))
+    known = articles.where("title is not null").select("basename", "title", F.coalesce("site", F.lit("")).alias("host"))
+    titles = named.join(known, "basename").groupBy("sample_id").agg(F.array_sort(F.collect_set(F.struct("title", "host"))).alias("titles"))  # as many as a sample names
+    c = samples.select("sample_id", F.col("context").alias("text")).join(titles, "sample_id", "left")
+    return c.select(F.lit("context").alias("place"), F.col("sample_id").cast("string").alias("item_key"), F.lit("").alias("host"), "titles", "text")
 
 
 def main_bodies(pages: DataFrame) -> DataFrame:

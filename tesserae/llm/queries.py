@@ -52,7 +52,9 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    return boilerplate.article_pages(table(spark, d, "articles")).unionByName(boilerplate.context_pages(table(spark, d, "merged_samples")))
+    articles = table(spark, d, "articles")
+    samples = table(spark, d, "merged_samples").select("sample_id", "relevant_web_articles", "context")
+    return boilerplate.article_pages(articles).unionByName(boilerplate.context_pages(samples, articles))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

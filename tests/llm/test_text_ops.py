@@ -330,7 +330,7 @@ def page(i, lead="The old mill at Nordhaven was finished in 1901"):
 
 def test_furniture_lines(spark):
     rows = [("article", f"p{i}", "h1" if i % 3 else f"solo{i}", f"Nordhaven Mills {chr(65 + i % 26)}x" if i % 2 else None, page(i)) for i in range(12)] + [("article", "n", None, None, None), ("article", "e", "h1", None, ""), ("article", "p0", "h1", None, page(0))]
-    df = spark.createDataFrame(rows, "place string, item_key string, host string, title string, text string").withColumn("host", F.coalesce("host", F.lit(""))).withColumn("score", F.lit("x")).withColumn("path", F.lit(1))
+    df = spark.createDataFrame(rows, "place string, item_key string, host string, title string, text string").withColumn("host", F.coalesce("host", F.lit(""))).withColumn("titles", F.array(F.struct("title", "host"))).withColumn("score", F.lit("x")).withColumn("path", F.lit(1))
     got = {}
     for r in boilerplate.furniture_lines(df).distinct().collect():
         got.setdefault(r.item_key, set()).add(r.line_no)
@@ -342,6 +342,19 @@ def test_furniture_lines(spark):
     assert boilerplate.furniture_lines(df.limit(0)).count() == 0
 
 
+def test_prose_that_a_host_repeats_is_furniture(spark):
+    notice = "We and our partners store data on your device. You may refuse this at any time in the settings. Until you do so we take it that you agree to all of it."
+    own = "The old mill at {0} was finished in 19{1:02d} and carries {1} gates. It opened at 6 a.m. and shut at 9 p.m. The {1} repairs never lasted longer than a month, said {0}."
+    rows = [(f"a{i}", "h1" if i < 8 else f"s{i}", f"Mill of {chr(65 + i)}x", own.format(f"Nord{chr(97 + i)}", i) + "\n\n" + notice) for i in range(10)]
+    arts = spark.createDataFrame([(k, h, t, x) for k, h, t, x in rows], "basename string, site string, title string, page_text string")
+    ctx = spark.createDataFrame([(1, [rows[0][0], rows[9][0]], "==========\n**Document 1**: \n\n\nMill of Ax\n\n" + rows[0][3] + "\n==========\n**Document 2**: \n\n\nMill of Jx\n\n" + rows[9][3]), (2, None, None)], "sample_id bigint, relevant_web_articles array<string>, context string")
+    pages = boilerplate.article_pages(arts).unionByName(boilerplate.context_pages(ctx, arts))
+    got = {(r.item_key, r.line_no) for r in boilerplate.furniture_lines(pages).collect()}
+    assert got == {(f"a{i}", 3) for i in range(8)} | {("1", 9)}  # the second document's host has one page
+    again = boilerplate.furniture_lines(pages.repartition(7).orderBy(F.rand(3))).collect()
+    assert {(r.item_key, r.line_no) for r in again} == got
+
+
 # --- sentences
 
 
@@ -405,3 +418,18 @@ def test_sentences_on_rows(spark):
 def test_language_votes():
     assert lang.best(lang.votes("The mill was built by the keeper of it"))[0] == "en"
     assert lang.best(lang.votes("これは見事な灯台だ"))[0] == "kana" and lang.best(lang.votes(""))[0] == ""
+
+
+def test_corpus_without_lists_is_split(spark):
+    text = "The bridge was built in 1841. It still stands. Who paid for it? Dr. Bell wrote that 3.5 tons were lost."
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
+    got = [text[r.start_pos : r.end_pos] for r in sentences.sentences(df).orderBy("start_pos").collect()]
+    assert got == ["The bridge was built in 1841.", "It still stands.", "Who paid for it?", "Dr. Bell wrote that 3.5 tons were lost."]
+    assert sentences.sentences(df.limit(0)).count() == 0
+
+
+def test_candidates_equal_the_pattern():
+    rng = random.Random(4)
+    for _ in range(3000):
+        p = "".join(rng.choice("ab AZ9.!?…。»”\"[1] (¿\n*ก|:") for _ in range(rng.randint(0, 40)))
+        assert list(sentences.candidates(p)) == [m.span() for m in sentences.CANDIDATE.finditer(p)], p
