@@ -16,10 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tesserae.session import cut_lineage, spread
+
 LIMIT, OVERLAP = 4000, 200
 RANGE = 1 << 16  # characters of a range of a text
-HALO = 1 << 10  # characters read beyond a range's ends; a longer run of blanks is followed to its end in later ranges
-SEGMENT = 1 << 20  # characters over which pieces are chosen one after another; a longer text is cut there first
+HALO = 1 << 10  # characters read beyond a range's ends, or as many more as a run of blanks there has
+SEGMENT = 1 << 20  # characters over which pieces are chosen one after another; a longer text is cut at the best boundary before each multiple first
 FILE_RANGE = 8 << 20  # bytes of a range of a file
 KINDS = ["paragraph", "line", "space", "none"]
 
@@ -33,7 +35,7 @@ def gaps(text: str, start: int, end: int, rx: re.Pattern) -> tuple[int, int, int
     """(characters before the first boundary that starts in [start, end), longest stretch between two, characters after
     the last), counted within the range; with no boundary the first is -1 and the others are the range's length."""
     first, best, at = -1, 0, start
-    m = rx.search(text, max(0, start - HALO))
+    m = rx.search(text)
     while m and m.end() <= start:
         m = rx.search(text, m.end())
     if m and m.start() < start:  # a run that began in the range before: what it covers here is no stretch
@@ -51,21 +53,27 @@ def gaps(text: str, start: int, end: int, rx: re.Pattern) -> tuple[int, int, int
     return first, best, end - at
 
 
+BLANKS = " \t\r\n"
+
+
 def ranges(df: DataFrame, key: str, text: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
     """(key, n, part, before, chars, t): each text's ranges with their halos; n is the text's length, part counts from 0,
-    before and chars are the characters of the leading halo and of the range itself."""
+    before and chars are the characters of the leading halo and of the range itself. Halos reach beyond runs of blanks."""
     n = F.char_length(text)
     s = df.where(F.col(text).isNotNull()).select(key, F.col(text).alias("_t"), n.alias("n"), F.posexplode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(size))).alias("part", "_s"))
-    a = F.greatest(F.col("_s") - halo, F.lit(0))
-    whole = F.when(F.col("n") <= size, F.col("_t")).otherwise(F.substring(F.col("_t"), a + 1, F.lit(size) + F.lit(2 * halo) - (F.lit(halo) - (F.col("_s") - a))))
-    return s.select(key, "n", "part", (F.col("_s") - a).alias("before"), F.least(F.lit(size), F.col("n") - F.col("_s")).alias("chars"), whole.alias("t"))
+    head, rest = F.left(F.col("_t"), F.col("_s")), F.col("_t").substr(F.col("_s") + size + 1, F.col("n"))
+    lead = F.greatest(F.char_length(head) - F.char_length(F.rtrim(head, F.lit(BLANKS))) + 2, F.lit(halo))
+    after = F.greatest(F.char_length(rest) - F.char_length(F.ltrim(rest, F.lit(BLANKS))) + 2, F.lit(halo))
+    one = F.col("n") <= size
+    a = F.when(one, 0).otherwise(F.greatest(F.col("_s") - lead, F.lit(0))).cast("int")
+    s = s.withColumn("_a", a).withColumn("_z", F.when(one, F.col("n")).otherwise(F.col("_s") + size + after).cast("int"))
+    whole = F.when(one, F.col("_t")).otherwise(F.col("_t").substr(F.col("_a") + 1, F.col("_z") - F.col("_a")))
+    return s.select(key, "n", "part", (F.col("_s") - F.col("_a")).alias("before"), F.least(F.lit(size), F.col("n") - F.col("_s")).alias("chars"), whole.alias("t"))
 
 
 def sufficient_boundary(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> DataFrame:
     """(key, boundary) of every text longer than limit: the first kind of boundary that leaves no stretch over limit.
 
-    A run of blanks that is longer than the halo and crosses the end of a range counts as it looks from within the halo.
-
     Null and shorter texts give no row; equal texts under other keys give one each; an empty table gives none.
     """
     kind = dict(df.dtypes)[key]
@@ -119,10 +127,10 @@ def cut_points(text: str, start: int, end: int, limit: int) -> list[tuple[int, i
     return out
 
 
-def choose(cuts: list[tuple[int, int]], begin: int, end: int, limit: int, overlap: int) -> list[tuple[int, int, int]]:
+def choose(cuts: list[tuple[int, int]], begin: int, end: int, limit: int, overlap: int, last: int = 0) -> list[tuple[int, int, int]]:
     """Greedy pieces (start, end, level of the cut at its end) of [begin, end): each at most limit long, each starting
     overlap before the end of the one before. A paragraph end is taken if the piece is then at least half full, else a
-    line end likewise, else any boundary, else the limit itself."""
+    line end likewise, else any boundary, else the limit itself. last is the level of the boundary at the end."""
     offsets = [c[0] for c in cuts]
     out, start = [], begin
     while end - start > limit:
@@ -141,52 +149,99 @@ def choose(cuts: list[tuple[int, int]], begin: int, end: int, limit: int, overla
         cut, level = pick or (hi, 3)
         out.append((start, cut, level))
         start = cut - overlap
-    out.append((start, end, 0))
+    out.append((start, end, last))
     return out
 
 
 def piece_offsets(table: DataFrame, key: str, limit: int, overlap: int) -> DataFrame:
-    """(key, piece, start, end, boundary) from the stitched boundary table (key, n, part, seg, cuts): segment by segment."""
+    """(key, piece, start, end, boundary) from the stitched boundary table (key, n, part, seg, cuts): segment by segment.
+
+    A segment ends at the best boundary among the last limit characters before its multiple of SEGMENT, and what lies
+    behind that goes to the next one.
+    """
     kind = dict(table.dtypes)[key]
-    segs = table.groupBy(key, "seg").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("part", "cuts"))).alias("t"))
+    segs = table.groupBy(key, "seg").agg(F.max("n").alias("n"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "cuts"))), lambda x: x["cuts"])).alias("cuts"))
+    mark = (F.col("seg").cast("bigint") + 1) * SEGMENT
+    near = F.filter("cuts", lambda c: (c["at"] > mark - limit) & (c["at"] <= mark))
+    best = F.coalesce(F.array_min(F.transform(near, lambda c: F.struct(c["level"].alias("level"), (-c["at"]).alias("at")))), F.struct(F.lit(3).alias("level"), (-mark).alias("at")))
+    segs = segs.withColumn("_e", F.when(mark >= F.col("n"), F.struct(F.lit(0).alias("level"), (-F.col("n")).alias("at"))).otherwise(best))
+    segs = segs.select(key, "seg", "n", "cuts", (-F.col("_e.at")).alias("edge"), F.col("_e.level").alias("level"))
+    prior = segs.select(F.col(key), (F.col("seg") + 1).alias("seg"), F.col("edge").alias("begin"), F.filter("cuts", lambda c: c["at"] > F.col("edge")).alias("carried"))
+    both = segs.join(prior, [key, "seg"], "left").select(key, "seg", "n", "edge", "level", F.coalesce("begin", F.lit(0)).alias("begin"), F.concat(F.coalesce("carried", F.array().cast(dict(segs.dtypes)["cuts"])), F.filter("cuts", lambda c: c["at"] <= F.col("edge"))).alias("cuts"))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for k, seg, n, t in zip(*(b[c].tolist() for c in (key, "seg", "n", "t")), strict=True):
-                begin, end = seg * SEGMENT, min(n, (seg + 1) * SEGMENT)
-                cuts = [(c["at"], c["level"]) for r in t for c in r["cuts"]]
+            for k, seg, n, edge, level, begin, t in zip(*(b[c].tolist() for c in (key, "seg", "n", "edge", "level", "begin", "cuts")), strict=True):
+                least: dict[int, int] = {}
+                for c in t:  # a run of blanks across two ranges is in both
+                    least[c["at"]] = min(least.get(c["at"], 3), c["level"])
                 first = begin if seg == 0 else begin - overlap
-                out.append((k, seg, [{"start": a, "end": z, "boundary": KINDS[v] if z < n else "end"} for a, z, v in choose(cuts, first, end, limit, overlap)]))
+                chosen = choose(sorted(least.items()), first, edge, limit, overlap, level)
+                out.append((k, seg, [{"start": a, "end": z, "boundary": KINDS[v] if z < n else "end"} for a, z, v in chosen]))
             yield pd.DataFrame(out, columns=[key, "seg", "p"])
 
-    got = segs.mapInPandas(pick, f"{key} {kind}, seg int, p array<struct<start: bigint, end: bigint, boundary: string>>")
+    got = both.mapInPandas(pick, f"{key} {kind}, seg int, p array<struct<start: bigint, end: bigint, boundary: string>>")
     # pieces are numbered by the sum of the segments before, so a key's pieces never meet in one task, only its segments
     before = F.coalesce(F.sum(F.size("p")).over(Window.partitionBy(key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     got = got.withColumn("_before", before).select(key, "_before", F.posexplode("p").alias("_i", "_p"))
     return got.select(key, (F.col("_before") + F.col("_i")).cast("int").alias("piece"), "_p.start", "_p.end", "_p.boundary")
 
 
+def joined(bits: DataFrame, key: str) -> DataFrame:
+    """Pieces from the parts of them that were emitted range by range."""
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "t"))), lambda x: x["t"]), "")
+    return bits.groupBy(key, "piece", "start", "end", "boundary").agg(whole.alias("text"))
+
+
 def split_texts(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(key, piece, start, end, boundary, text): the pieces of every text longer than limit, in order.
 
     Joined without their overlaps the pieces give the text back. Keys must be unique; null and short texts give no row.
+    A text of one range is read, cut and emitted at once; of a longer one every range is read alone for its boundaries
+    and again for its pieces, both by the same choice.
     """
     kind = dict(df.dtypes)[key]
     long = df.where(F.char_length(text) > limit).select(key, text)
+    out_schema = f"{key} {kind}, piece int, start bigint, end bigint, boundary string, text string"
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for k, t in zip(b[key].tolist(), b[text].tolist(), strict=True):
+                n = len(t)
+                chosen = choose(cut_points(t, 0, n, limit), 0, n, limit, overlap)
+                out += [(k, i, a, z, KINDS[v] if z < n else "end", t[a:z]) for i, (a, z, v) in enumerate(chosen)]
+            yield pd.DataFrame(out, columns=[key, "piece", "start", "end", "boundary", "text"])
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for k, n, part, before, chars, t in zip(*(b[c].tolist() for c in (key, "n", "part", "before", "chars", "t")), strict=True):
                 base = part * RANGE - before
-                cuts = [{"at": base + a, "level": v} for a, v in cut_points(t, before, before + chars, limit)]
-                out.append((k, n, part, part * RANGE // SEGMENT, cuts))
+                by: dict[int, list[dict]] = {part * RANGE // SEGMENT: []}
+                for a, v in cut_points(t, before, before + chars, limit):
+                    by.setdefault((base + a) // SEGMENT, []).append({"at": base + a, "level": v})
+                out += [(k, n, part, seg, cuts) for seg, cuts in by.items() if seg * SEGMENT < n]
             yield pd.DataFrame(out, columns=[key, "n", "part", "seg", "cuts"])
 
-    table = ranges(long, key, text).mapInPandas(find, f"{key} {kind}, n bigint, part int, seg int, cuts array<struct<at: bigint, level: int>>")
+    short = spread(long.where(F.char_length(text) <= RANGE)).mapInPandas(whole, out_schema)
+    parts = ranges(long.where(F.char_length(text) > RANGE), key, text)
+    table = parts.mapInPandas(find, f"{key} {kind}, n bigint, part int, seg int, cuts array<struct<at: bigint, level: int>>")
     offsets = piece_offsets(table, key, limit, overlap)
-    return offsets.join(long, key).select(key, "piece", "start", "end", "boundary", F.col(text).substr((F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("text"))
+    touched = offsets.withColumn("part", F.explode(F.sequence(F.floor(F.col("start") / RANGE), F.floor((F.col("end") - 1) / RANGE)))).withColumn("part", F.col("part").cast("int"))
+    jobs = touched.groupBy(key, "part").agg(F.collect_list(F.struct("piece", "start", "end", "boundary")).alias("p"))  # as many as a range holds
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, part, before, chars, t, p in zip(*(b[c].tolist() for c in (key, "part", "before", "chars", "t", "p")), strict=True):
+                own, base = t[before : before + chars], part * RANGE
+                rows += [(k, x["piece"], x["start"], x["end"], x["boundary"], part, own[max(0, x["start"] - base) : x["end"] - base]) for x in p]
+            yield pd.DataFrame(rows, columns=[key, "piece", "start", "end", "boundary", "part", "t"])
+
+    bits = parts.join(jobs, [key, "part"]).mapInPandas(emit, f"{key} {kind}, piece int, start bigint, end bigint, boundary string, part int, t string")
+    return short.unionByName(joined(bits, key))
 
 
 def open_at(path: str):  # noqa: ANN201
@@ -232,7 +287,7 @@ def split_files(spark: SparkSession, paths: list[str], limit: int = LIMIT, overl
     c = rs.mapInPandas(count, "path string, size bigint, part int, a bigint, chars bigint")
     w = Window.partitionBy("path").orderBy("part")
     c = c.withColumn("base", F.coalesce(F.sum("chars").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    c = c.withColumn("n", F.sum("chars").over(Window.partitionBy("path"))).persist()
+    c = cut_lineage(c.withColumn("n", F.sum("chars").over(Window.partitionBy("path"))))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -262,5 +317,4 @@ def split_files(spark: SparkSession, paths: list[str], limit: int = LIMIT, overl
                 yield pd.DataFrame(rows, columns=["path", "piece", "start", "end", "boundary", "part", "t"])
 
     bits = jobs.mapInPandas(emit, "path string, piece int, start bigint, end bigint, boundary string, part int, t string")
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "t"))), lambda x: x["t"]), "")
-    return bits.groupBy("path", "piece", "start", "end", "boundary").agg(whole.alias("text"))
+    return joined(bits, "path")

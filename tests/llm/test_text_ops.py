@@ -433,3 +433,23 @@ def test_candidates_equal_the_pattern():
     for _ in range(3000):
         p = "".join(rng.choice("ab AZ9.!?…。»”\"[1] (¿\n*ก|:") for _ in range(rng.randint(0, 40)))
         assert list(sentences.candidates(p)) == [m.span() for m in sentences.CANDIDATE.finditer(p)], p
+
+
+def test_segments_end_at_boundaries(spark):
+    rng = random.Random(8)
+    text = "\n".join(" ".join("word%d" % rng.randint(0, 9) for _ in range(12)) for _ in range(16000))
+    text = text[:65500] + " \n" * 900 + text[65500:]  # a run of blanks across a range's end, longer than a halo
+    assert len(text) > splitting.SEGMENT + 100_000
+    df = spark.createDataFrame([(1, text), (2, "x" * 70_000), (3, text[:60_000]), (4, None)], "k int, t string")
+    rows = {}
+    for r in splitting.split_texts(df, "k", "t").collect():
+        rows.setdefault(r.k, []).append(r)
+    for k, whole in ((1, text), (2, "x" * 70_000), (3, text[:60_000])):
+        got = sorted(rows[k], key=lambda r: r.piece)
+        assert [r.piece for r in got] == list(range(len(got))) and all(len(r.text) <= 4000 and r.text == whole[r.start : r.end] for r in got)
+        assert got[0].start == 0 and got[-1].end == len(whole) and all(b.start == a.end - 200 for a, b in zip(got, got[1:]))
+    assert {r.boundary for r in rows[1]} == {"paragraph", "line", "end"}
+    assert all(text[r.end - 1] == "\n" for r in rows[1][:0] + [r for r in rows[1] if r.boundary == "line"])
+    assert {r.k: r.boundary for r in splitting.sufficient_boundary(df, "k", "t").collect()} == {1: "line", 2: "none", 3: "line"}
+    ends = splitting.ranges(df.where("k = 1"), "k", "t").collect()
+    assert any(r.before > splitting.HALO for r in ends) or any(len(r.t) - r.before - r.chars > splitting.HALO for r in ends)
