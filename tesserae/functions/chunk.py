@@ -37,11 +37,11 @@ def recursive_chunks(text: str, limit: int = CHUNK_CHARS, separators: tuple[str,
 
 
 def sentence_chunks(text: str, max_words: int = SENTENCE_WORDS) -> list[str]:
-    """Sentences packed by their number of words; one that is too long stands alone, and an empty one counts as a word."""
+    """Sentences packed by their number of words; one that is too long stands alone."""
     out: list[str] = []
     held: list[str] = []
     n = 0
-    for s in SENTENCE_END.split(text):
+    for s in filter(None, SENTENCE_END.split(text.strip())):
         k = max(1, len(s.split()))
         if k > max_words:
             out.append(" ".join(held))

@@ -96,11 +96,12 @@ def clean_steps(trace: ColumnOrName) -> Column:
 
 
 def clean_lines(trace: ColumnOrName) -> Column:
-    """Second cleaner, line by line and case ignored: artefact lines go, phrase lines become the introduction."""
-    lines = F.split(c(trace), "\n")
+    """Second cleaner, line by line and case ignored: code fences and artefact lines go, phrase lines become the
+    introduction, then runs of blank lines and the ends as in the first; '' for null."""
+    lines = F.split(F.regexp_replace(F.coalesce(c(trace), F.lit("")), r"(?s)```python.*?```", ""), r"\r\n|\n|\r")
     kept = F.filter(lines, lambda x: ~F.exists(F.array(*map(F.lit, LINE_ARTEFACTS)), lambda a: F.contains(F.lower(x), a)))
     said = F.transform(kept, lambda x: F.when(F.contains(F.lower(x), F.lit(LINE_PHRASE)), F.lit(STEP_INTRODUCTION.strip())).otherwise(x))
-    return F.array_join(said, "\n")
+    return F.regexp_replace(F.regexp_replace(F.array_join(said, "\n"), r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
 def strip_tags(text: ColumnOrName) -> Column:
@@ -113,7 +114,8 @@ def neutral_headings(text: ColumnOrName) -> Column:
     def one(line: Column) -> Column:
         marks = F.regexp_extract(F.trim(line), r"^(#+)", 1)
         n = F.char_length(marks)
-        name = F.when(n == 1, F.lit("**Document Title**:")).otherwise(F.concat(F.lit("*"), F.when(n == 2, "Section").otherwise(F.concat(F.repeat(F.lit("Sub"), F.greatest(n - 3, F.lit(0))), F.lit("Subsection"))), F.lit("*:")))
+        word = F.concat(F.repeat(F.lit("sub"), F.greatest(n - 2, F.lit(0))), F.lit("section"))
+        name = F.when(n == 1, F.lit("**Document Title**: ")).otherwise(F.concat(F.lit("*S"), F.substring(word, 2, 100_000), F.lit("*: ")))
         return F.when(n > 0, F.replace(line, marks, name)).otherwise(line)
 
     return F.array_join(F.transform(F.split(c(text), "\n"), one), "\n")
@@ -164,6 +166,45 @@ def fill(template: ColumnOrName, values: ColumnOrName) -> Column:
     return F.aggregate(pairs, c(template), lambda t, e: F.replace(t, F.concat(F.lit("{"), e["key"], F.lit("}")), F.coalesce(e["value"], F.lit(""))))
 
 
+def json_text(value: ColumnOrName, fields: list[str] | None = None) -> Column:
+    """A list, or a map's or struct's named values, as JSON indented by 2; '[]' for an empty list."""
+    if fields is None:
+        items = F.transform(c(value), lambda x: F.get_json_object(F.to_json(F.array(x)), "$"))
+        items = F.transform(items, lambda x: F.concat(F.lit("  "), F.substring(x, F.lit(2), F.char_length(x) - 2)))
+        return F.when(F.size(c(value)) > 0, F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]"))).otherwise(F.when(c(value).isNotNull(), "[]"))
+    quoted = lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+    pairs = [F.concat(F.lit(f'  "{f}": '), F.coalesce(F.nullif(quoted(c(value)[f]), F.lit("")), F.lit("null"))) for f in fields]
+    return F.when(c(value).isNotNull(), F.concat(F.lit("{\n"), F.concat_ws(",\n", *pairs), F.lit("\n}")))
+
+
+def fill_all(template: ColumnOrName, values: ColumnOrName) -> Column:
+    """fill() of a whole trace: the raw text if a placeholder has no value or a brace stands alone."""
+    names = F.array_distinct(F.regexp_extract_all(c(template), F.lit(r"\{(\w+)\}"), 1))
+    stray = F.regexp_replace(c(template), r"\{\w+\}", "").rlike(r"[{}]")
+    return F.when(stray | ~F.forall(names, lambda x: F.map_contains_key(c(values), x)), c(template)).otherwise(fill(template, values))
+
+
+def first_missing(fields: list[str]) -> Column:
+    """The first required field that is null or empty; null if all are there."""
+    return F.coalesce(*(F.when(~truthy(F.col(f).cast("string")), f) for f in fields))
+
+
+# What is said around the table, the reasoning and the answer of a sample.
+TABLE_INTRODUCTION = "To answer this question, I first aggregate the key information from the documents into a structured table:\n\n"
+REASONING_INTRODUCTION = "\n\nNow I'll work through the solution step by step:\n\n"
+ANSWER_INTRODUCTION = "Based on the analysis, the answer is:\n\n"
+
+
+def thinking(table: ColumnOrName, trace: ColumnOrName) -> Column:
+    """The reasoning of a sample: its table, then its trace."""
+    return F.concat(F.lit(TABLE_INTRODUCTION), c(table), F.lit(REASONING_INTRODUCTION), c(trace))
+
+
+def output(answer: ColumnOrName) -> Column:
+    """The answer of a sample; a missing one is written None."""
+    return F.concat(F.lit(ANSWER_INTRODUCTION), F.coalesce(c(answer), F.lit("None")))
+
+
 def document_list(texts: ColumnOrName) -> Column:
     """Numbered documents: line breaks and blanks run together, tags dropped, a heading for each."""
     return F.array_join(F.transform(c(texts), lambda d, i: F.concat(F.lit("**Document "), (i + 1).cast("string"), F.lit("**:\n"), strip_tags(F.regexp_replace(d, r"[\n ]+", " ")))), "\n\n")

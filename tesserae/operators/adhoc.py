@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STEPS = 2_000_000  # virtual machine steps after which a record's query is given up
+STEPS = 2_000_000  # virtual machine steps after which a record's query comes out as an error that says interrupted; the default of a parameter
 DENIED = {sqlite3.SQLITE_ATTACH, sqlite3.SQLITE_DETACH, sqlite3.SQLITE_PRAGMA} if hasattr(sqlite3, "SQLITE_ATTACH") else {24, 25, 19}
 NUMBER = re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?")
 
@@ -26,13 +26,18 @@ def wide(cells: DataFrame, key: str, value: object) -> DataFrame:
     return one.groupBy("row_idx").agg(*cols).orderBy("row_idx").drop("row_idx")
 
 
+def any_case(sql: str) -> str:
+    """LIKE as ILIKE, outside of string literals and quoted names."""
+    return re.sub(r"('(?:[^']|'')*'|\"(?:[^\"]|\"\")*\")|\bLIKE\b", lambda m: m.group(1) or "ILIKE", sql, flags=re.I)
+
+
 def run_sql(spark: SparkSession, cells: DataFrame, key: str, value: object, sql: str) -> DataFrame:
     """A query over one table named df; double quotes name identifiers."""
     wide(cells, key, value).createOrReplaceTempView("df")
     before = spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers", "false")
     spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
     try:
-        return spark.sql(re.sub(r"\bLIKE\b", "ILIKE", sql, flags=re.I))
+        return spark.sql(any_case(sql))
     finally:
         spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", before)
 
@@ -54,10 +59,10 @@ def read_pipe_table(md: str) -> tuple[list[str], list[list[str | None]]]:
     return names, [[c or None for c in (r + [""] * len(names))[: len(names)]] for r in body]
 
 
-def query_table(md: str, sql: str) -> tuple[str, int, int, str]:
+def query_table(md: str, sql: str, steps: int | None = STEPS) -> tuple[str, int, int, str]:
     """(state, rows, columns, answer) of a SELECT over an in-memory table named df; state is ok, empty or error.
 
-    The database holds only that table, can't reach files, and is stopped after a number of steps.
+    The database holds only that table, can't reach files, and is stopped after a number of steps, or never without one.
     """
     names, body = read_pipe_table(md)
     con = sqlite3.connect(":memory:")
@@ -70,13 +75,14 @@ def query_table(md: str, sql: str) -> tuple[str, int, int, str]:
         con.executemany(f"INSERT INTO df VALUES ({', '.join('?' * len(names))})", body)
         con.commit()
         con.set_authorizer(lambda action, *_: sqlite3.SQLITE_DENY if action in DENIED else sqlite3.SQLITE_OK)
-        left = [STEPS // 1000]
+        left = [(steps or 0) // 1000]
 
         def tick() -> int:
             left[0] -= 1
             return int(left[0] <= 0)
 
-        con.set_progress_handler(tick, 1000)
+        if steps:
+            con.set_progress_handler(tick, 1000)
         cur = con.execute(strip_fence(sql))
         rows = cur.fetchall()
         if not rows:
@@ -84,12 +90,12 @@ def query_table(md: str, sql: str) -> tuple[str, int, int, str]:
         text = lambda v: "" if v is None else str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
         return "ok", len(rows), len(rows[0]), "\n".join(" | ".join(map(text, r)) for r in rows)
     except (sqlite3.Error, sqlite3.Warning, ValueError) as e:
-        return "error", 0, 0, str(e)[:200]
+        return "error", 0, 0, str(e)
     finally:
         con.close()
 
 
-def run_own_sql(records: DataFrame, key: str, markdown: str = "df", sql: str = "sql_query") -> DataFrame:
+def run_own_sql(records: DataFrame, key: str, markdown: str = "df", sql: str = "sql_query", steps: int | None = STEPS) -> DataFrame:
     """(key, state, n_rows, n_cols, answer): every record's own query over its own table, on the executors.
 
     A null table or query gives state null.
@@ -100,7 +106,7 @@ def run_own_sql(records: DataFrame, key: str, markdown: str = "df", sql: str = "
         for b in batches:
             out = []
             for k, md, s in zip(b[key].tolist(), b[markdown].tolist(), b[sql].tolist(), strict=True):
-                out.append((k, *((None, None, None, None) if md is None or s is None else query_table(md, s))))
+                out.append((k, *((None, None, None, None) if md is None or s is None else query_table(md, s, steps))))
             yield pd.DataFrame(out, columns=[key, "state", "n_rows", "n_cols", "answer"]).astype({"n_rows": "Int32", "n_cols": "Int32"})
 
     return records.select(key, markdown, sql).mapInPandas(run, f"{key} {kind}, state string, n_rows int, n_cols int, answer string")
@@ -114,7 +120,7 @@ def run_own_code(df: DataFrame, code: Callable[[DataFrame], DataFrame]) -> DataF
 def normal_answer(x: str) -> Column:
     """An answer as it is compared: case, blanks, a final full stop and digit grouping don't count."""
     t = F.lower(F.trim(F.regexp_replace(F.col(x), r"\s+", " ")))
-    t = F.regexp_replace(F.regexp_replace(t, r"\.$", ""), r"(?<=\d),(?=\d{3}(\D|$))", "")
+    t = F.regexp_replace(F.regexp_replace(t, r" ?\.$", ""), r"(?<=\d),(?=\d{3}(\D|$))", "")
     return t
 
 

@@ -41,6 +41,17 @@ def to_markdown(cells: DataFrame, key: str) -> DataFrame:
     return g.select(key, F.array_join(F.concat(F.array(w(F.col("names")), rule), F.transform("r", lambda x: x["line"])), "\n").alias("markdown"))
 
 
+def to_html(cells: DataFrame, key: str) -> DataFrame:
+    """(key, html): a table of one head row and its body, texts escaped, a null cell empty."""
+    safe = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    row = lambda a, tag: F.concat(F.lit("<tr>"), F.array_join(F.transform(a, lambda x: F.concat(F.lit(f"<{tag}>"), safe(x), F.lit(f"</{tag}>"))), ""), F.lit("</tr>"))
+    text = F.coalesce("text", F.lit(""))
+    rows = cells.groupBy(key, "row_idx").agg(F.array_sort(F.collect_list(F.struct("col_idx", text.alias("t"), "col_name"))).alias("c"))
+    rows = rows.select(key, "row_idx", row(F.transform("c", lambda x: x["t"]), "td").alias("line"), row(F.transform("c", lambda x: x["col_name"]), "th").alias("head"))
+    g = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("row_idx", "line"))).alias("r"), F.min_by("head", "row_idx").alias("head"))
+    return g.select(key, F.concat(F.lit("<table>"), "head", F.array_join(F.transform("r", lambda x: x["line"]), ""), F.lit("</table>")).alias("html"))
+
+
 def gate(cells: DataFrame, key: str) -> DataFrame:
     """Per table its size and whether it is regular (no null, no repeated name, rows + columns >= 4) and of ideal size."""
     g = cells.groupBy(key).agg(

@@ -6,6 +6,8 @@ idf = ln((N + 1) / df). Statistics belong to a corpus: all chunks, or the chunks
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,34 +55,37 @@ def top_k(scores: DataFrame, k: int | Column) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def within_budget(scores: DataFrame, budget: int | str) -> DataFrame:
+def within_budget(scores: DataFrame, budget: int | str, all_chunks: bool = False) -> DataFrame:
     """The best chunks of every query whose running total of tokens stays within the budget, a number or a column.
 
     A matching chunk has at least one token, so no more than budget ranks can fit: the rank limit is applied first and
-    keeps the running total from sorting all matches of a query.
+    keeps the running total from sorting all matches of a query. With all_chunks chunks may be empty, and it isn't.
     """
     budget = F.col(budget) if isinstance(budget, str) else budget
-    top = top_k(scores, budget)
+    top = top_k(scores, F.lit((1 << 31) - 1) if all_chunks else budget)
     run = F.sum("n_tokens").over(Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     return top.withColumn("running", run).where(F.col("running") <= budget)
 
 
-def compact(chunks: DataFrame, queries: DataFrame, budget: int | str, joiner: str = "...\n") -> DataFrame:
+def compact(chunks: DataFrame, queries: DataFrame, budget: int | str, joiner: str = "...\n", count: Callable[[str], Column] | None = None) -> DataFrame:
     """(query_id, doc_order, body): each question's documents cut to the chunks that its budget holds.
 
     chunks: query_id, doc_order, chunk_order, text. A question whose chunks all fit keeps them joined by line breaks;
-    else the best are kept in their old order, joined by the mark, and a document without one is ''. The budget is a
-    number, or a column of the queries.
+    else all chunks are ranked, those without a common word last and in order, and the best that fit are kept in their
+    old order, joined by the mark; a document without one is ''. The budget is a number, or a column of the queries; of
+    a budget of nothing or less nothing is left. count gives a text's tokens; by default those that are ranked by.
     """
     limit = F.col(budget) if isinstance(budget, str) else F.lit(budget)
     limits = queries.select("query_id", limit.alias("_limit"))
-    c = chunks.withColumn("chunk_id", F.struct("doc_order", "chunk_order")).withColumn("n", F.size(tokens("text")))
+    c = chunks.withColumn("chunk_id", F.struct("doc_order", "chunk_order")).withColumn("n", count("text") if count else F.size(tokens("text")))
     total = c.groupBy("query_id").agg(F.sum("n").alias("_total"))
     c = c.join(total, "query_id").join(limits, "query_id")
-    small, large = c.where(F.col("_total") <= F.col("_limit")), c.where(F.col("_total") > F.col("_limit"))
+    fit = (F.col("_total") <= F.col("_limit")) & (F.col("_limit") > 0)
+    small, large = c.where(fit), c.where(~fit)
     fits = small.groupBy("query_id", "doc_order").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_order", "text"))), lambda x: x["text"]), "\n").alias("body"))
     s = bm25(large.select("chunk_id", F.col("query_id").alias("corpus"), "text"), queries.join(large.select("query_id").distinct(), "query_id", "left_semi"), "corpus")
-    kept = within_budget(s.join(limits, "query_id"), "_limit").select("query_id", "chunk_id", F.lit(True).alias("_k"))
+    ranked = large.select("query_id", "chunk_id", F.col("n").alias("n_tokens"), "_limit").join(s.select("query_id", "chunk_id", "score"), ["query_id", "chunk_id"], "left").fillna(0.0, ["score"])
+    kept = within_budget(ranked.where("_limit > 0"), "_limit", True).select("query_id", "chunk_id", F.lit(True).alias("_k"))
     j = large.join(kept, ["query_id", "chunk_id"], "left")
     cut = j.groupBy("query_id", "doc_order").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_k"), F.struct("chunk_order", "text")))), lambda x: x["text"]), joiner).alias("body"))
     return fits.unionByName(cut)

@@ -316,6 +316,12 @@ def common_units(samples: DataFrame, key: str = "sample_id") -> DataFrame:
     """(key, row_idx, col_idx, base_value) of every measured value.
 
     Nulls, blanks and words for unknown give no row; so do texts without a unit anywhere. Repeated samples come out each;
-    an empty table gives none. A value of more than 18 digits, or one whose conversion exceeds a bigint, has no base_value and gives none.
+    an empty table gives none. A value of more than 18 digits, or one whose conversion exceeds a bigint, has no base_value and gives
+    none; rejected_values() lists it.
     """
     return to_base(measured_values(samples, key)).where(F.col("base_value").isNotNull()).select(key, "row_idx", "col_idx", "base_value")
+
+
+def rejected_values(samples: DataFrame, key: str = "sample_id") -> DataFrame:
+    """(key, row_idx, col_idx, digits, unit, reject): measured values that have no base value, as they were read."""
+    return to_base(measured_values(samples, key)).where(F.col("base_value").isNull()).select(key, "row_idx", "col_idx", "digits", "unit", F.lit("exceeds the range of a base value").alias("reject"))

@@ -7,15 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.functions import chunk, text
+from tesserae.functions import chunk, text, tokens
 from tesserae.operators import adhoc, aggregates, cells, joins, retrieval, units, windows
-from tesserae.plans import context, generation
+from tesserae.plans import context, generation, pages
 from tesserae.session import spread, table
 from tesserae.sources import html
 from tesserae.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"  # the one that bpe_lengths counts with
 SQL: dict[str, str] = {}
 
 
@@ -42,6 +43,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return units.common_units(table(spark, d, "merged_samples"))
 
 
+@query("SELECT 0::BIGINT AS sample_id, 0 AS row_idx, 0 AS col_idx, '' AS digits, '' AS unit, '' AS reject WHERE false")
+def p2_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Values beyond the range of a base value; the tables have none."""
+    return units.rejected_values(table(spark, d, "merged_samples"))
+
+
 # Retrieval
 
 _TOK = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
@@ -91,6 +98,26 @@ def bm25_per_question(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.within_budget(s, 300).select(F.col("query_id").alias("sample_id"), "rank", F.col("chunk_id").alias("chunk_order"))
 
 
+@query(f"""
+    WITH c AS (SELECT sample_id, unnest(range(len(a))) AS i, a, a[i + 1] AS x FROM (SELECT sample_id, string_split(context, chr(10) || chr(10)) AS a FROM merged_samples WHERE context IS NOT NULL)),
+    t AS (SELECT sample_id, i, x, {_TOK.format("x")} AS w FROM c),
+    s AS (SELECT sample_id, count(*) AS n, avg(len(w)) AS a, sum(len(w)) AS total FROM t GROUP BY sample_id),
+    q AS (SELECT DISTINCT sample_id, unnest({_TOK.format("question")}) AS term FROM merged_samples),
+    tf AS (SELECT sample_id, i, len(w) AS n_tokens, term, count(*) AS tf FROM (SELECT sample_id, i, w, unnest(w) AS term FROM t) GROUP BY ALL),
+    df AS (SELECT sample_id, term, count(*) AS df FROM tf GROUP BY ALL),
+    sc AS (SELECT sample_id, i, round(sum(ln((n + 1) / df) * (1.5 + tf * 2.5 / (1.5 * (0.25 + 0.75 * n_tokens / a) + tf))), 6) AS score
+           FROM q JOIN tf USING (sample_id, term) JOIN df USING (sample_id, term) JOIN s USING (sample_id) GROUP BY ALL),
+    r AS (SELECT t.sample_id, t.i, x, len(w) AS n_tokens, row_number() OVER (PARTITION BY t.sample_id ORDER BY coalesce(score, 0) DESC, t.i) AS rank FROM t LEFT JOIN sc USING (sample_id, i)),
+    k AS (SELECT *, sum(n_tokens) OVER (PARTITION BY sample_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS running FROM r)
+    SELECT sample_id, CASE WHEN total <= 300 THEN string_agg(x, chr(10) ORDER BY i) ELSE coalesce(string_agg(x, '...' || chr(10) ORDER BY i) FILTER (running <= 300), '') END AS body
+    FROM k JOIN s USING (sample_id) GROUP BY sample_id, total""")
+def paragraph_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """Each context's paragraphs, all of them ranked, cut to 300 tokens."""
+    m = spread(table(spark, d, "merged_samples").select("sample_id", "question", "context"))
+    c = m.select(F.col("sample_id").alias("query_id"), F.lit(0).alias("doc_order"), F.posexplode(F.split("context", "\n\n")).alias("chunk_order", "text"))
+    return retrieval.compact(c, m.select(F.col("sample_id").alias("query_id"), F.col("question").alias("text")), 300).select(F.col("query_id").alias("sample_id"), "body")
+
+
 @query()
 def context_compaction(spark: SparkSession, d: str) -> DataFrame:
     m = spread(table(spark, d, "merged_samples").select("sample_id", "question", "context"))
@@ -101,8 +128,19 @@ def context_compaction(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def packed_contexts(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "merged_samples").select("sample_id", "question", "relevant_web_articles")
-    return context.pack_contexts(m, table(spark, d, "articles"))
+    m = table(spark, d, "merged_samples")
+    anchors = m.select("sample_id", F.col("metadata.caption").alias("before"), F.col("df_md").alias("section"), F.lit("").alias("after"))
+    return context.pack_contexts(m.select("sample_id", "question", "relevant_web_articles"), table(spark, d, "articles"), anchors=anchors)
+
+
+@query("""
+    WITH n AS (SELECT sample_id, count(*) AS n_docs FROM (SELECT sample_id, unnest(relevant_web_articles) AS basename FROM merged_samples) JOIN articles USING (basename) WHERE coalesce(page_text, '') <> '' GROUP BY sample_id)
+    SELECT sample_id, n_docs::INTEGER AS n_docs, true AS in_budget, n_docs + 1 AS n_headings, true AS has_section FROM n""")
+def packed_context_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Of every packed context: whether the budget lies in its bounds, its numbered headings, and whether it holds the table it was asked about."""
+    got = packed_contexts(spark, d).join(table(spark, d, "merged_samples").select("sample_id", text.neutral_headings(F.coalesce("df_md", F.lit(""))).alias("_s")), "sample_id")
+    headings = F.size(F.regexp_extract_all("context", F.lit(r"==========\n\*\*Document \d+\*\*: \n"), 0)).cast("bigint")
+    return got.select("sample_id", "n_docs", F.col("budget").between(context.LEAST, context.MOST).alias("in_budget"), headings.alias("n_headings"), F.contains("context", "_s").alias("has_section"))
 
 
 # Windows and aggregates
@@ -365,6 +403,19 @@ def html_to_markdown_tables(spark: SparkSession, d: str) -> DataFrame:
     return cells.to_markdown(_cells(spark, d), "seq")
 
 
+@query(f"WITH {_ORIGINAL} SELECT seq, row_idx, col_idx, col_name, text FROM cells")
+def html_table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Cells written as HTML tables and read again."""
+    return html.cells(cells.to_html(_cells(spark, d), "seq"), "seq", "html").drop("href")
+
+
+@query(f"""WITH {_ORIGINAL}, k AS (SELECT seq, col_idx, CASE WHEN count(text) = 0 THEN 'empty' WHEN bool_and(text IS NULL OR regexp_full_match(text, '\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*')) THEN 'numeric' ELSE 'text' END AS t, max(row_idx) + 1 AS n FROM cells GROUP BY ALL)
+    SELECT seq AS page_id, 1 AS ordinal, max(n)::INTEGER AS n_rows, count(*)::INTEGER AS n_cols, string_agg(t, ',' ORDER BY col_idx) AS types FROM k GROUP BY seq""")
+def page_records(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "wiki_tables").where("original_table_html <> ''").select(F.col("seq").alias("page_id"), F.col("original_table_html").alias("html"))
+    return pages.page_records(p).select("page_id", "ordinal", F.col("n_rows").cast("int").alias("n_rows"), F.col("n_cols").cast("int").alias("n_cols"), F.array_join("types", ",").alias("types"))
+
+
 @query("""SELECT c_custkey, 'Account' AS section, CAST(0 AS INTEGER) AS item_idx, 'Name' AS label, c_name AS value FROM customer UNION ALL SELECT c_custkey, 'Account', 1, 'Nation', c_nationkey::varchar FROM customer UNION ALL SELECT c_custkey, 'Market', 0, 'Segment', c_mktsegment FROM customer""")
 def infobox_items(spark: SparkSession, d: str) -> DataFrame:
     """Customers rendered as infoboxes; the last row only ends a box."""
@@ -412,7 +463,10 @@ def clean_trace_steps(spark: SparkSession, d: str) -> DataFrame:
     return _traces(spark, d).select("seq", text.clean_steps("t").alias("trace"))
 
 
-@query(f"SELECT seq, array_to_string(list_transform(list_filter(string_split({_TRACE}, chr(10)), lambda x: NOT contains(lower(x), 'purpose and action in natural language') AND NOT contains(lower(x), 'corresponding code snippet')), lambda x: CASE WHEN contains(lower(x), 'intermediate variable') THEN 'The intermediate result is:' ELSE x END), chr(10)) AS trace FROM qar_records")
+_LINES = "array_to_string(list_transform(list_filter(string_split(regexp_replace({0}, '(?s)```python.*?```', '', 'g'), chr(10)), lambda x: NOT contains(lower(x), 'purpose and action in natural language') AND NOT contains(lower(x), 'corresponding code snippet')), lambda x: CASE WHEN contains(lower(x), 'intermediate variable') THEN 'The intermediate result is:' ELSE x END), chr(10))"
+
+
+@query(f"SELECT seq, regexp_replace(regexp_replace({_LINES.format('coalesce(' + _TRACE + ', ' + chr(39) * 2 + ')')}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS trace FROM qar_records")
 def clean_trace_lines(spark: SparkSession, d: str) -> DataFrame:
     return _traces(spark, d).select("seq", text.clean_lines("t").alias("trace"))
 
@@ -423,7 +477,7 @@ def fence_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(trim(x), '^#') THEN replace(x, regexp_extract(trim(x), '^(#+)', 1),
-    CASE length(regexp_extract(trim(x), '^(#+)', 1)) WHEN 1 THEN '**Document Title**:' WHEN 2 THEN '*Section*:' ELSE '*' || repeat('Sub', length(regexp_extract(trim(x), '^(#+)', 1)) - 3) || 'Subsection*:' END) ELSE x END), chr(10)) AS text FROM documents""")
+    CASE length(regexp_extract(trim(x), '^(#+)', 1)) WHEN 1 THEN '**Document Title**: ' WHEN 2 THEN '*Section*: ' ELSE '*Sub' || repeat('sub', length(regexp_extract(trim(x), '^(#+)', 1)) - 3) || 'section*: ' END) ELSE x END), chr(10)) AS text FROM documents""")
 def heading_neutralise(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.neutral_headings("text").alias("text"))
 
@@ -450,6 +504,67 @@ def chat_messages(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "attempts").where("question is not null").select("seq", F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(": "), x["content"])), "\n").alias("chat"))
 
 
+_LETTERS = r"regexp_replace({0}, '[^\p{{L}}\p{{N}}]+', '', 'g')"
+
+
+def _put_together(chunks: DataFrame, key: str) -> DataFrame:
+    """The letters and digits of a text's chunks in order."""
+    g = chunks.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "chunk"))), lambda x: x["chunk"]), "").alias("t"))
+    return g.select(key, F.regexp_replace("t", r"[^\p{L}\p{N}]+", "").alias("letters"))
+
+
+@query(f"SELECT doc_id, {_LETTERS.format('text')} AS letters FROM documents WHERE regexp_matches(text, '\\S')")
+def sentence_pack_text(spark: SparkSession, d: str) -> DataFrame:
+    """Nothing is lost or moved by packing sentences."""
+    return _put_together(sentence_pack(spark, d), "doc_id")
+
+
+@query(f"SELECT sample_id, {_LETTERS.format('context')} AS letters FROM merged_samples WHERE context IS NOT NULL")
+def markdown_chunks_text(spark: SparkSession, d: str) -> DataFrame:
+    """Nothing is lost or moved by chunking markdown."""
+    return _put_together(markdown_chunks(spark, d), "sample_id")
+
+
+_REQUIRED = ["table_id", "question", "df", "sql_query", "final_answer_sql", "reasoning_traces"]
+
+
+@query("SELECT seq, CASE " + " ".join(f"WHEN coalesce({f}, '') = '' THEN '{f}'" for f in _REQUIRED) + " END AS missing FROM qar_records")
+def required_fields(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "qar_records").select("seq", text.first_missing(_REQUIRED).alias("missing"))
+
+
+@query("""SELECT seq, md5('Given the following documents:' || chr(10) || chr(10) || df || chr(10) || chr(10) || 'Question: ' || question || chr(10) || '(Please answer within the scope of the given documents.)') AS input,
+    md5('To answer this question, I first aggregate the key information from the documents into a structured table:' || chr(10) || chr(10) || df || chr(10) || chr(10) || 'Now I''ll work through the solution step by step:' || chr(10) || chr(10) || reasoning_traces) AS thinking,
+    md5('Based on the analysis, the answer is:' || chr(10) || chr(10) || coalesce(final_answer_sql, 'None')) AS output FROM qar_records""")
+def narrated_samples(spark: SparkSession, d: str) -> DataFrame:
+    q = table(spark, d, "qar_records")
+    return q.select("seq", F.md5(text.narrate("df", "question")).alias("input"), F.md5(text.thinking("df", "reasoning_traces")).alias("thinking"), F.md5(text.output("final_answer_sql")).alias("output"))
+
+
+@query("SELECT sample_id, table_id, question, final_answer_sql, len(relevant_web_urls) AS n_urls, df_md AS context FROM merged_samples")
+def attempt_inputs(spark: SparkSession, d: str) -> DataFrame:
+    a = generation.attempt_inputs(table(spark, d, "merged_samples"), from_table=True)
+    return a.select("sample_id", "table_id", "question", "final_answer_sql", F.when(F.col("relevant_web_urls").isNotNull(), F.size("relevant_web_urls").cast("bigint")).alias("n_urls"), "context")
+
+
+@query("""SELECT r_regionkey, r_name || ' has ' || '[' || chr(10) || '  "' || string_agg(n_name, '",' || chr(10) || '  "' ORDER BY n_name) || '"' || chr(10) || ']' AS filled, '{r} has {names} and {more}' AS raw
+    FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name""")
+def trace_values(spark: SparkSession, d: str) -> DataFrame:
+    """A whole trace with a text and a list put in, and one with a placeholder that has no value."""
+    n = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
+    j = table(spark, d, "region").join(n, F.col("n_regionkey") == F.col("r_regionkey"))
+    values = F.create_map(F.lit("r"), "r_name", F.lit("names"), text.json_text("names"))
+    return j.select("r_regionkey", text.fill_all(F.lit("{r} has {names}"), values).alias("filled"), text.fill_all(F.lit("{r} has {names} and {more}"), values).alias("raw"))
+
+
+@query()
+def bpe_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of a public vocabulary in traces and whole messages."""
+    a = table(spark, d, "attempts")
+    n = tokens.byte_pairs(VOCABULARY)
+    return a.select("seq", n("llm_generated_reasoning_traces").alias("trace_tokens"), tokens.message_tokens(["question", "final_answer_sql", "llm_generated_reasoning_traces"], VOCABULARY).alias("message_tokens"))
+
+
 @query()
 def sentence_pack(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.posexplode(chunk.chunks("text", chunk.sentence_chunks, 60)).alias("i", "chunk"))
@@ -473,12 +588,23 @@ def own_sql_answers(spark: SparkSession, d: str) -> DataFrame:
     return adhoc.run_own_sql(table(spark, d, "qar_records"), "seq")
 
 
-_NORM = r"regexp_replace(regexp_replace(lower(trim(regexp_replace({0}, '\s+', ' ', 'g'))), '\.$', ''), '(\d),(\d{{3}})', '\1\2', 'g')"
+_NORM = r"regexp_replace(regexp_replace(lower(trim(regexp_replace({0}, '\s+', ' ', 'g'))), ' ?\.$', ''), '(\d),(\d{{3}})', '\1\2', 'g')"
 
 
-@query("SELECT seq, CASE WHEN final_answer_sql IS NULL OR final_answer_python IS NULL THEN NULL ELSE final_answer_sql = final_answer_python END AS same FROM qar_records")
+_SAME = "CASE WHEN {0} IS NULL OR {1} IS NULL THEN NULL ELSE coalesce({2} = {3}, false) OR coalesce(abs(TRY_CAST({2} AS DOUBLE) - TRY_CAST({3} AS DOUBLE)) <= 1e-6 * greatest(abs(TRY_CAST({2} AS DOUBLE)), abs(TRY_CAST({3} AS DOUBLE)), 1), false) END"
+
+
+def _same(a: str, b: str) -> str:
+    return _SAME.format(a, b, _NORM.format(a), _NORM.format(b))
+
+
+@query(f"""SELECT seq, {_same("final_answer_sql", "final_answer_python")} AS same, {_same("final_answer_sql", "upper(final_answer_sql) || ' .'")} AS spaced, {_same("final_answer_sql", "upper(final_answer_sql) || '.'")} AS dotted,
+    CASE WHEN df IS NOT NULL THEN true END AS grouped, {_same("(len(df) + 0.5)::varchar", "(len(df) + 0.25)::varchar")} AS apart FROM qar_records""")
 def answer_equivalence(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "qar_records").select("seq", adhoc.same_answer("final_answer_sql", "final_answer_python").alias("same"))
+    q = table(spark, d, "qar_records").select("seq", "final_answer_sql", "final_answer_python", F.char_length("df").alias("n"))
+    q = q.withColumns({"up": F.concat(F.upper("final_answer_sql"), F.lit(" .")), "dot": F.concat(F.upper("final_answer_sql"), F.lit(".")), "big": F.format_number(F.col("n") * 1000.0, 3), "plain": (F.col("n") * 1000).cast("string"), "half": (F.col("n") + 0.5).cast("string"), "quarter": (F.col("n") + 0.25).cast("string")})
+    s = adhoc.same_answer
+    return q.select("seq", s("final_answer_sql", "final_answer_python").alias("same"), s("final_answer_sql", "up").alias("spaced"), s("final_answer_sql", "dot").alias("dotted"), s("big", "plain").alias("grouped"), s("half", "quarter").alias("apart"))
 
 
 @query("SELECT n_name FROM nation WHERE n_regionkey = 3")
@@ -549,7 +675,7 @@ def union_of_settings(spark: SparkSession, d: str) -> DataFrame:
     return a.where("setting like 'md%'").unionByName(a.where("setting like 'ctx%'")).groupBy("setting", "attempt_no").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT DISTINCT page_metadata.page_title AS title FROM wiki_tables")
 def shuffled_titles(spark: SparkSession, d: str) -> DataFrame:
     return generation.shuffled(table(spark, d, "wiki_tables").select(F.col("page_metadata.page_title").alias("title")).distinct(), "title")
 

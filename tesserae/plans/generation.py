@@ -68,6 +68,20 @@ def sample_attempts(samples: DataFrame, key: str, settings: Sequence[str], attem
     return j.select(key, "setting", "attempt_no", F.col("reasoning").alias("llm_generated_reasoning_traces"), "answer", F.coalesce(same_answer("answer", "final_answer_sql"), F.lit(False)).alias("answer_comparison"))
 
 
+ATTEMPT_FIELDS = ["sample_id", "table_id", "question", "final_answer_sql", "relevant_web_urls", "evidence_wikipages"]
+
+
+def attempt_inputs(samples: DataFrame, from_table: bool = False) -> DataFrame:
+    """What an attempt is given: six named fields and the context, which is the table's markdown if from_table is set."""
+    return samples.select(*ATTEMPT_FIELDS, F.col("df_md" if from_table else "context").alias("context"))
+
+
+def cross_checked(trials: DataFrame, first: str, second: str) -> DataFrame:
+    """Trials whose two paths to an answer agree, the first one of each table; a trial that lacks an answer doesn't count."""
+    ok = trials.where(F.coalesce(same_answer(first, second), F.lit(False)))
+    return ok.groupBy("table_id").agg(F.min_by(F.struct(*[x for x in trials.columns if x != "table_id"]), "trial").alias("_s")).select("table_id", "_s.*")
+
+
 def expand_tables(tables: DataFrame, summaries: DataFrame, make: Callable[[], ModelClient], tries: int = 2) -> DataFrame:
     """(table_id, expanded_table_html): a model's table with more columns from the summaries of the pages that rows link to;
     '' where it gives none. tables: table_id, html; summaries: table_id, row_idx, title, summary."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -139,7 +140,7 @@ def grid_of(table: Node) -> tuple[list[list[tuple[str, str | None]]], int]:
             text, urls = text_and_links(cell)
             value = (text, urls[0] if urls else None)
             span = lambda a, cell=cell: max(1, int(m.group())) if (m := re.match(r"\d+", cell.attrs.get(a, ""))) else 1
-            for _ in range(min(span("colspan"), 1000)):
+            for _ in range(min(span("colspan"), 1000)):  # the HTML standard clamps it to 1,000
                 row.append(value)
                 if span("rowspan") > 1:
                     nxt[j] = (span("rowspan") - 1, value)
@@ -247,7 +248,7 @@ def route(node: Node) -> str:
     return "table"
 
 
-PAGE_TABLES = "page_id bigint, ordinal int, route string, section string, caption string, hatnote string, hatnote_urls array<string>, levels array<string>, cells array<struct<row_idx: int, col_idx: int, col_name: string, text: string, href: string>>"
+PAGE_TABLES = "page_id bigint, ordinal int, route string, section string, caption string, caption_urls array<string>, headers array<struct<text: string, urls: array<string>>>, hatnote string, hatnote_urls array<string>, levels array<string>, cells array<struct<row_idx: int, col_idx: int, col_name: string, text: string, href: string>>"
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
@@ -259,34 +260,65 @@ def page_tables(pages: DataFrame) -> DataFrame:
             for pid, h in zip(b["page_id"].tolist(), b["html"].tolist(), strict=True):
                 for i, t in enumerate(parse(h).all("table"), 1):
                     r = route(t)
-                    cap = next((text_and_links(k)[0] for k in t.kids if isinstance(k, Node) and k.tag == "caption"), None)
+                    cap = next((text_and_links(k) for k in t.kids if isinstance(k, Node) and k.tag == "caption"), (None, None))
+                    heads = [dict(zip(("text", "urls"), text_and_links(x), strict=True)) for x in t.all("th")]
                     note = hatnote(t)
                     levels, got = [], []
                     if r == "table":
                         levels, names, body = shaped(*grid_of(t))
                         got = [{"row_idx": a, "col_idx": j, "col_name": names[j], "text": x, "href": u} for a, row in enumerate(body) for j, (x, u) in enumerate(row)]
-                    out.append((pid, i, r, heading_path(t), cap, note[0] if note else None, note[1] if note else None, levels, got))
-            yield pd.DataFrame(out, columns=["page_id", "ordinal", "route", "section", "caption", "hatnote", "hatnote_urls", "levels", "cells"])
+                    out.append((pid, i, r, heading_path(t), *cap, heads, note[0] if note else None, note[1] if note else None, levels, got))
+            yield pd.DataFrame(out, columns=["page_id", "ordinal", "route", "section", "caption", "caption_urls", "headers", "hatnote", "hatnote_urls", "levels", "cells"])
 
     return pages.where(F.col("html").isNotNull()).select("page_id", "html").mapInPandas(run, PAGE_TABLES)
 
 
+def nested_rows(table: Node) -> list:
+    """A table inside a cell: one entry a row, of one cell its text, of two a pair, else the list of its texts."""
+    out: list = []
+    for tr in (k for k in _direct_rows(table)):
+        texts = [text_and_links(x)[0] for x in tr.kids if isinstance(x, Node) and x.tag in ("th", "td")]
+        if texts:
+            out.append(texts[0] if len(texts) == 1 else {texts[0]: texts[1]} if len(texts) == 2 else texts)
+    return out
+
+
+def _direct_rows(table: Node) -> Iterator[Node]:
+    for k in table.kids:
+        if isinstance(k, Node) and k.tag == "tr":
+            yield k
+        elif isinstance(k, Node) and k.tag in ("tbody", "thead", "tfoot"):
+            yield from (x for x in k.kids if isinstance(x, Node) and x.tag == "tr")
+
+
+def cell_value(td: Node) -> str:
+    """A cell's text, or the rows of the table in it as JSON."""
+    inner = td.all("table")
+    return json.dumps(nested_rows(inner[0]), ensure_ascii=False) if inner else text_and_links(td)[0]
+
+
+def footnotes(table: Node) -> list[str]:
+    """The texts of a box's reference marks, in order."""
+    return [text_and_links(x)[0] for x in table.all("sup") if "reference" in " ".join(x.classes())]
+
+
 def infobox_rows(table: Node, lose_last: bool = True) -> list[tuple[str, int, str | None, str | None]]:
     """(section, position, label, value): rows between header rows form sections, General before the first and for a
     blank header; sections of one name go on; the last row only ends the box unless lose_last is off. Of a label that a
-    section has twice the last value holds."""
+    section has twice the last value holds. A label alone in a data row has an empty value, a value alone no label, and a
+    table in a cell is given as JSON."""
     rows = [r for r in table.all("tr") if not any(p.tag == "td" for p in _ancestors(r, table))]
     section = "General"
     sections: dict[str, dict[str, tuple[str | None, str | None]]] = {}
     for tr in rows[:-1] if lose_last else rows:
         th = [k for k in tr.kids if isinstance(k, Node) and k.tag == "th"]
         td = [k for k in tr.kids if isinstance(k, Node) and k.tag == "td"]
-        if th and not td:
+        if th and not td and "infobox-label" not in " ".join(th[0].classes()):
             section = text_and_links(th[0])[0] or "General"
             sections.setdefault(section, {})
             continue
         label = text_and_links(th[0])[0] if th else None
-        value = "; ".join(filter(None, (text_and_links(d)[0] for d in td)))
+        value = "; ".join(filter(None, map(cell_value, td)))
         if label or value:
             at = sections.setdefault(section, {})
             at[label if label else f"#{len(at)}"] = (label, value)

@@ -2,6 +2,7 @@ import re
 import random
 import sqlite3
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import chunk, text
 from tesserae.operators import adhoc, aggregates, cells, joins, retrieval, windows
-from tesserae.plans import context
+from tesserae.plans import context, pages
 from tesserae.sources import clients, files, html
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,7 +62,12 @@ def test_text_expressions(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
     assert one(text.first_keyword(F.lit("Which listener grew?"))) == "list"
     assert one(text.repair_markers(F.lit("[[## a ##]]"))) == "[[ ## a ## ]]"
-    assert one(text.neutral_headings(F.lit("# T\n### S # x\ntext # y"))) == "**Document Title**: T\n*Subsection*: S # x\ntext # y"
+    assert one(text.neutral_headings(F.lit("# T\n### S # x\ntext # y"))) == "**Document Title**:  T\n*Subsection*:  S # x\ntext # y"  # the marker's name ends in a blank of its own
+    assert one(text.neutral_headings(F.lit("#### Deep"))) == "*Subsubsection*:  Deep"
+    assert one(text.clean_lines(F.lit("a\n```python\nx\n```\n**Corresponding code snippet:**\n\n\n\nResulting intermediate variable: y\n"))) == "a\n\nThe intermediate result is:" and one(text.clean_lines(F.lit(None).cast("string"))) == ""
+    values = F.create_map(F.lit("a"), F.lit("1"))
+    assert one(text.fill_all(F.lit("{a} and"), values)) == "1 and" and one(text.fill_all(F.lit("{a} {b}"), values)) == "{a} {b}" and one(text.fill_all(F.lit("{a} }"), values)) == "{a} }"
+    assert one(text.json_text(F.array(F.lit('x"y'), F.lit("z")))) == '[\n  "x\\"y",\n  "z"\n]' and one(text.json_text(F.struct(F.lit("u").alias("k"), F.lit(2).alias("n")), ["k", "n"])) == '{\n  "k": "u",\n  "n": 2\n}'
     assert one(text.section_of(F.lit("# A\n## Brid ge\nbody\nmore\n# C"), "brid")) == "ge\nbody\nmore"
     assert one(text.clean_steps(F.lit("x\n```python\ncode\n```\nCorresponding code snippet:\n\n\n\ny"))) == "x\n\ny"
     assert one(text.clean_lines(F.lit("a\n**Corresponding code snippet**:\nIntermediate variable: 3\nb"))) == "a\nThe intermediate result is:\nb"
@@ -302,3 +308,69 @@ def test_listing_and_search(spark):
     q = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "question string")
     cache = spark.createDataFrame([("b", ["u"])], "question string, urls array<string>")
     assert [(r.question, len(r.urls)) for r in clients.search_missing(q, cache, lambda: [clients.StubSearch()], 2).collect()] == [("a", 2)]
+
+
+def test_markdown_chunks_keep_their_limit():
+    text_ = "\n".join("one two three four five six seven eight" for _ in range(500))
+    assert {len(x.split()) for x in chunk.markdown_chunks(text_, 64)} == {64, 32} and " ".join(" ".join(chunk.markdown_chunks(text_, 64)).split()) == " ".join(text_.split())
+    md = "intro line\n| a | b |\n| 1 | 2 |\nafter\n```\ncode\n\nmore\n```\nend"
+    assert chunk.markdown_chunks(md, 3) == ["intro line", "| a | b |\n| 1 | 2 |", "after", "```\ncode\nmore\n```", "end"]
+    assert chunk.markdown_chunks(" \n ", 3) == [""] and chunk.sentence_chunks("A b. C d e. F.", 3) == ["A b.", "C d e.", "F."]
+
+
+def test_every_chunk_is_ranked(spark):
+    c = spark.createDataFrame([(1, 0, i, t) for i, t in enumerate(["red mill", "old tower", "blue mill", "last word here"])], "query_id int, doc_order int, chunk_order int, text string")
+    cut = lambda n, q="mill": retrieval.compact(c, spark.createDataFrame([(1, q)], "query_id int, text string"), n).first().body
+    assert cut(9) == "red mill\nold tower\nblue mill\nlast word here"
+    assert cut(6) == "red mill...\nold tower...\nblue mill" and cut(4) == "red mill...\nblue mill" and cut(0) == "" and cut(2, "none") == "red mill"
+
+
+def test_contexts_charge_what_they_keep(spark):
+    page = "lead words stand here\n\nthe mill was red\n\nthe tower was old"
+    q = spark.createDataFrame([(7, "which mill", ["a", "b", "zz"], 17)], "sample_id bigint, question string, relevant_web_articles array<string>, own int")
+    a = spark.createDataFrame([("a", "A", page), ("b", "B", "only one part")], "basename string, title string, page_text string")
+    anchors = spark.createDataFrame([(7, "before it", "# the section", "after it")], "sample_id bigint, before string, section string, after string")
+    got = context.pack_contexts(q, a, budget="own", anchors=anchors).first()
+    # 17 less the lead's 4 and the section's 3 leaves 10 of 16: the chunks with a common word first, then in order
+    assert got.budget == 17 and got.n_docs == 2 and got.context.count("==========") == 3
+    assert "before it\n**Document Title**:  the section\n" in got.context and "lead words stand here\n\n...\nthe mill was red" in got.context
+    g = random.Random(7)
+    g.normalvariate(54, 30)
+    order = ["section", "mill was", "only one"]
+    g.shuffle(order)
+    assert order == sorted(order, key=lambda w: got.context.find(w) if w in got.context else 1 << 30) or "only one" not in got.context
+
+
+def test_late_and_failing_calls():
+    calls = []
+
+    def slow():
+        calls.append(1)
+        time.sleep(0.3 if len(calls) == 1 else 0)
+        return "x"
+
+    assert clients.with_retries(slow, 2, seconds=0.1) == "x" and len(calls) == 2
+    assert clients.with_retries(lambda: 1 / 0, 2) is None
+    with pytest.raises(TimeoutError):
+        clients.timed(lambda: time.sleep(0.5), 0.05)
+    assert adhoc.any_case("a LIKE 'no like' and \"like\" like b") == "a ILIKE 'no like' and \"like\" ILIKE b"
+
+
+def test_nested_boxes_and_html_tables(spark):
+    box = '<table class="infobox"><tr><th>Parts</th><td><table><tr><td>a</td></tr><tr><td>b</td><td>c</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table></td></tr><tr><th class="infobox-label">Bare</th></tr><tr><td>x</td></tr></table>'
+    got = html.infoboxes(spark.createDataFrame([(1, box)], "k int, h string"), "k", "h").collect()
+    assert [(r.label, r.value) for r in got] == [("Parts", '["a", {"b": "c"}, ["1", "2", "3"]]'), ("Bare", "")]
+    c = spark.createDataFrame([(1, 0, 0, "n<1>", "a & b"), (1, 0, 1, "m", None), (1, 1, 0, "n<1>", "<i>"), (1, 1, 1, "m", "z")], "k int, row_idx int, col_idx int, col_name string, text string")
+    back = html.cells(cells.to_html(c, "k"), "k", "html").drop("href")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, c.collect()), key=str)
+
+
+def test_expansion_is_validated(spark):
+    class Wide:
+        def complete(self, messages):
+            return "[[ ## table ## ]]\n<table><tr><th>n</th><th>year</th></tr><tr><td>a</td><td>1901</td></tr><tr><td>b</td><td>" + ("1902" if "Bridge" in messages[-1]["content"] else "1999") + "</td></tr></table>\n[[ ## completed ## ]]"
+
+    t = spark.createDataFrame([(k, "<table><tr><th>n</th></tr><tr><td>a</td></tr><tr><td>b</td></tr></table>") for k in ("good", "bad")], "table_id string, html string")
+    s = spark.createDataFrame([("good", 0, "A", "built 1901"), ("good", 1, "Bridge", "built 1902"), ("bad", 0, "A", "built 1901"), ("bad", 1, "B", "built 1902")], "table_id string, row_idx int, title string, summary string")
+    got = {r.table_id: (r.verdict, r.expanded_table_html != "") for r in pages.expanded(t, s, Wide).collect()}
+    assert got == {"good": ("ok", True), "bad": ("not_in_summary", False)}
