@@ -17,9 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.session import cut_lineage
+from tesserae.session import cut_lineage, if_small
 
 THRESHOLD = 0.7
+FREQUENT = 0.0001  # share of the records that a token must be in to be ordered by its frequency
+CLASS_ROWS = 1000  # rows of a class that one task pairs with the others; a larger class is split
 BUCKET_ROWS = 2000  # rows of a bucket that one group holds; a larger bucket becomes blocks of that size
 
 
@@ -35,11 +37,25 @@ def classes(df: DataFrame, key: str, text: str) -> DataFrame:
     return w.select(key, F.concat_ws("-", F.hex(F.xxhash64(s)), F.hex(F.xxhash64(s, F.lit(1)))).alias("cls"), "words")
 
 
-def ordered_sets(reps: DataFrame) -> DataFrame:
-    """(cls, toks): each set as token hashes, rarest token first; the same order in all records."""
-    tok = reps.select("cls", F.explode("words").alias("w")).select("cls", F.xxhash64("w").alias("t"))
-    df = tok.groupBy("t").agg(F.count("*").alias("df"))
-    return tok.join(df, "t").groupBy("cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("toks"))
+def ordered_sets(reps: DataFrame, share: float = FREQUENT) -> DataFrame:
+    """(cls, toks): each set as token hashes, rarest first; the same order in all records.
+
+    Any order that all records share is right, and only frequent tokens must come late, so the tokens of at least a fixed
+    share of the records are counted and sent to every task (at most mean size / share), and a record is ordered where it
+    is: no join meets a frequent word. Tokens below the share come first, by their hash.
+    """
+    hashed = reps.select("cls", F.transform("words", lambda w: F.xxhash64(w)).alias("t"))
+    n = hashed.count()
+    freq = hashed.select(F.explode("t").alias("t")).groupBy("t").agg(F.count("*").alias("df")).where(F.col("df") >= max(2.0, n * share))
+    rank = {r["t"]: i for i, r in enumerate(sorted(freq.collect(), key=lambda r: (r["df"], r["t"])))}
+    shared = reps.sparkSession.sparkContext.broadcast(rank)
+
+    def order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = shared.value
+        for b in batches:
+            yield pd.DataFrame({"cls": b["cls"], "toks": [sorted(t.tolist(), key=lambda x: (at.get(x, -1), x)) for t in b["t"]]})
+
+    return hashed.mapInPandas(order, "cls string, toks array<bigint>")
 
 
 class Trie:
@@ -109,10 +125,10 @@ def similar_classes(sets: DataFrame, threshold: float = THRESHOLD, bucket_rows:
     n = F.size("toks")
     prefix = F.slice(F.col("toks"), 1, F.greatest(n - F.ceil(n * threshold - 1e-9) + 1, F.lit(1)).cast("int"))
     placed = sets.where(n > 0).select("cls", "toks", F.explode(prefix).alias("bucket"))
-    sizes = sets.where(n > 0).select(F.explode(prefix).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
-    placed = placed.join(sizes, "bucket")
+    large = sets.where(n > 0).select(F.explode(prefix).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > bucket_rows)
+    placed = placed.join(if_small(large), "bucket", "left")
     # a bucket of k blocks: block i meets itself and every other block; a row goes to the k groups its block is part of
-    k = F.ceil(F.col("rows") / bucket_rows).cast("int")
+    k = F.ceil(F.coalesce("rows", F.lit(1)) / bucket_rows).cast("int")
     blocked = placed.withColumn("k", k).withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("k")).cast("int"))
     spread = blocked.select("bucket", "cls", "toks", "mine", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
     groups = spread.select("bucket", F.least("mine", "o").alias("ga"), F.greatest("mine", "o").alias("gb"), "mine", "cls", "toks")
@@ -152,13 +168,20 @@ def near_duplicates(df: DataFrame, key: str = "seq", text: str = "question", thr
 
 
 def similar_pairs(df: DataFrame, key: str = "seq", text: str = "question", threshold: float = THRESHOLD) -> DataFrame:
-    """(key_a, key_b), key_a < key_b: every pair of records at or above the threshold, copies included."""
+    """(key_a, key_b), key_a < key_b: every pair of records at or above the threshold, copies included.
+
+    Pairs of copies are as many as the square of their class, which the form of the result demands; a class of more than
+    CLASS_ROWS is split over as many tasks as it has such parts. duplicate_groups() gives the same without the square.
+    """
     members, links = near_duplicates(df, key, text, threshold)
-    members = members.where("has_words").drop("has_words")
-    ma = members.select(F.col(key).alias("a"), F.col("cls").alias("cls_a"))
-    mb = members.select(F.col(key).alias("b"), F.col("cls").alias("cls_b"))
-    across = links.join(ma, "cls_a").join(mb, "cls_b").select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"))
-    copies = ma.join(mb, F.col("cls_a") == F.col("cls_b")).where(F.col("a") < F.col("b")).select(F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b"))
+    members = members.where("has_words").select(F.col(key).alias("_m"), "cls")
+    large = members.groupBy("cls").agg(F.count("*").alias("_n")).where(F.col("_n") > CLASS_ROWS)
+    members = members.join(if_small(large), "cls", "left").withColumn("_k", F.ceil(F.coalesce("_n", F.lit(1)) / CLASS_ROWS).cast("int"))
+    left = members.select(F.col("_m").alias("a"), F.col("cls").alias("cls_a"), F.pmod(F.xxhash64("_m"), F.col("_k")).cast("int").alias("part"))
+    right = members.select(F.col("_m").alias("b"), F.col("cls").alias("cls_b"), "_k")
+    every = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).drop("_k")
+    copies = left.join(every, (F.col("cls_a") == F.col("cls_b")) & (left["part"] == every["part"])).where(F.col("a") < F.col("b")).select(F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b"))
+    across = links.join(left.drop("part"), "cls_a").join(right.drop("_k"), "cls_b").select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"))
     return across.unionByName(copies)
 
 
