@@ -22,7 +22,9 @@ from tesserae.session import cut_lineage, spread
 CAPACITY = 2048
 SIZES = (512, 1024, 2048)  # permitted container lengths; the greatest is the capacity
 OPEN_COST = 4.0  # tokens of waste that opening a container counts as, so equal waste goes to the larger one
-TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"  # the default of a parameter
+#: Fixed value: how the text is split into pieces before they are merged, as that vocabulary's description states it.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SALTS = 64
 
 
@@ -31,16 +33,10 @@ def token_ranks(path: str = TOKENIZER) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def token_pattern() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
-
-
-def token_counts(docs: DataFrame, key: str, text: str, path: str = TOKENIZER, pattern: str | None = None) -> DataFrame:
+def token_counts(docs: DataFrame, key: str, text: str, path: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
     """(key, n_tokens) of every row; null and empty texts have 0 tokens."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((token_ranks(path), pattern or token_pattern()))  # one vocabulary, of fixed size
+    shared = spark.sparkContext.broadcast((token_ranks(path), pattern))  # one vocabulary, of fixed size
     kind = dict(docs.dtypes)[key]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,11 +66,9 @@ def fill(counts: dict[int, int], sizes: list[int], room: int, first: int) -> tup
         if s < left:  # a pair that fills the rest better than this one and what follows it
             best, pair = left - s, None
             k = i
-            tried = 0
-            while k >= 0 and tried < 64:
+            while k >= 0:
                 a = sizes[k]
                 if counts[a] - used.get(a, 0) > 0:
-                    tried += 1
                     j = bisect_right(sizes, left - a) - 1
                     while j >= 0 and counts[sizes[j]] - used.get(sizes[j], 0) - (sizes[j] == a) <= 0:
                         j -= 1
@@ -133,7 +127,7 @@ def pieces(counts: DataFrame, key: str, capacity: int) -> DataFrame:
     return counts.select(key, n.alias("_n"), F.posexplode(starts).alias("piece", "token_start")).select(key, "piece", "token_start", F.least(F.col("_n") - F.col("token_start"), F.lit(capacity)).alias("n_tokens"))
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", permitted: Sequence[int] = SIZES, path: str = TOKENIZER, salts: int = SALTS) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", permitted: Sequence[int] = SIZES, path: str = TOKENIZER, salts: int = SALTS, pattern: str = PATTERN) -> DataFrame:
     """(key, piece, token_start, n_tokens, container_id, capacity, slot): every text's place.
 
     A null or empty text has no tokens and gets no container (nulls). A text is divided only if it alone exceeds the
@@ -141,7 +135,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", permitted: Se
     """
     spark: SparkSession = docs.sparkSession
     cap = max(permitted)
-    counted = cut_lineage(token_counts(docs, key, text, path))  # tokens are counted once
+    counted = cut_lineage(token_counts(docs, key, text, path, pattern))  # tokens are counted once
     every = pieces(counted, key, cap).withColumn("salt", F.pmod(F.xxhash64(key, "piece"), F.lit(salts)).cast("int"))
     items = every.where("n_tokens > 0")
     cells = items.groupBy("n_tokens", "salt").agg(F.count("*").alias("c")).collect()  # at most capacity x salts rows
