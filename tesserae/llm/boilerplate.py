@@ -12,6 +12,7 @@ part with the host of the article that their title names.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ SENT = re.compile(r"(?<=[.!?…。！？।؟])[\"”’“»)\]]*(?:\[\d+\])?\s
 TERM = re.compile(r"[.!?…。！？।؟][\"”’“»)\]」』]*(?:\s?»)?(?:\s?\[\d+\])*$")
 BULLET = re.compile(r"^(?:[-*•»›·–]|\d{1,2}[.)])\s+")
 LINK = re.compile(r"^\s*(?:[-*•]\s+)?\[[^\]]*\]\([^)]*\)\s*$")
-HEADING = re.compile(r"^\s*(?:#{1,6}\s|\*\*Document Title\*\*: |\*(?:Sub)*[Ss]ection\*: )")
+HEADING = re.compile(r"^\s*(?:#{1,6}\s|\*\*Document Title\*\*: |\*(?:[Ss]ub)*[Ss]ection\*: )")
 SEPARATOR = re.compile(r"^\s*(?:=={4,}=*|\*\*Document \d+\*\*:)\s*$")
 CRUMB = re.compile(r"\s(?:>|»|\||/|·|•|::)\s")
 ATTRIBUTED = re.compile(r"^(?:@\w+\s|[A-ZÀ-Þ]\w+(?:\s[A-ZÀ-Þ]\w+)?,\s\d{4}:\s|[A-ZÀ-Þ]\w+(?:\s[A-ZÀ-Þ]\w+)?\s(?:wrote|writes|said|schrieb|a écrit|écrit|escribió)\s?:\s)")
@@ -184,14 +185,14 @@ def documents(text: str, hosts: dict[str, str]) -> list[tuple[int, str]]:
 def scored(pages: DataFrame) -> DataFrame:
     """The documents of every page, with their lines as scored containers, and `page`, a hash of their running prose.
 
-    pages: place, item_key, host, titles (array of title and host), text.
+    pages: place, item_key, host, titles (JSON array of title and host), text.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for place, item, host, titles, text in zip(*(b[c].tolist() for c in ("place", "item_key", "host", "titles", "text")), strict=True):
-                hosts = {t["title"].strip().lower(): t["host"] or "" for t in (titles if titles is not None else ()) if t["title"]}
+                hosts = {t["title"].strip().lower(): t.get("host") or "" for t in json.loads(titles or "[]") if t.get("title")}
                 found = containers(text, set(hosts))
                 starts = documents(text, hosts) if place == "context" else [(1, host)]
                 for (a, h), (z, _) in zip(starts, [*starts[1:], (1 << 31, "")], strict=True):
@@ -211,14 +212,15 @@ def furniture_lines(pages: DataFrame) -> DataFrame:
     from 1. Pages without a host, or alone on theirs, are judged by the votes over all hosts. Repeated pages come out
     each, but a repeated line votes once for the prose that follows it. The result doesn't depend on the order of rows.
     """
-    docs = cut_lineage(scored(pages))  # one row per document; the pages are read once
+    named = F.when(F.col("host") == "", 0).otherwise(F.xxhash64("host"))  # 0: no host
+    docs = cut_lineage(scored(pages).withColumn("host", named))  # one row per document; the pages are read once
     n_pages = docs.count()
     lines = docs.select("place", "item_key", "host", "page", F.explode("lines").alias("l")).select("place", "item_key", "host", "page", "l.*")
     prose, other = lines.where("kind = 'prose'"), lines.where("kind <> 'prose'")
     votes = other.groupBy("host", "path", "next").agg(F.avg("score").alias("score"), F.max(F.col("kind").isin("title?", "short", "title").cast("int")).alias("short"))
     by_host = votes.groupBy("host", "path").agg(F.sum("score").alias("hs"), F.count("*").alias("hn"))
     by_path = votes.groupBy("path").agg(F.sum("score").alias("gs"), F.count("*").alias("gn"), F.count_distinct(F.when(F.col("short") == 1, F.col("next"))).alias("n_next"))
-    j = other.drop("page", "next").join(if_small(by_path), "path", "left").join(if_small(by_host.where("host <> '' and hn > 1")), ["host", "path"], "left")
+    j = other.drop("page", "next").join(if_small(by_path), "path", "left").join(if_small(by_host.where("host <> 0 and hn > 1")), ["host", "path"], "left")
     vote = (F.coalesce("hs", F.lit(0.0)) + PRIOR * F.col("gs") / F.col("gn")) / (F.coalesce("hn", F.lit(0)) + PRIOR)
     main = F.when(F.col("kind") == "title", True).when(F.col("kind") == "title?", F.col("n_next") < max(TITLE_LEAST, TITLE_SHARE * n_pages)).otherwise(0.5 * F.col("score") + vote > 0)
     lost = j.where(~main)
@@ -229,23 +231,23 @@ def furniture_lines(pages: DataFrame) -> DataFrame:
     out = lost.select("place", "item_key", "line_no", "kind")
     out = out.where(~F.col("kind").isin("line", "item")).unionByName(out.where(F.col("kind").isin("line", "item")).join(saved, ["place", "item_key", "line_no"], "left_anti").select(out.columns))
     # prose that a host carries on many of its pages
-    host_pages = docs.where("host <> ''").groupBy("host").agg(F.count_distinct("page").alias("pages"))
-    carried = prose.where("host <> ''").groupBy("host", "path").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= REPEAT_LEAST)
+    host_pages = docs.where("host <> 0").groupBy("host").agg(F.count_distinct("page").alias("pages"))
+    carried = prose.where("host <> 0").groupBy("host", "path").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= REPEAT_LEAST)
     carried = carried.join(if_small(host_pages), "host").where(F.col("n") >= REPEAT_SHARE * F.col("pages")).select("host", "path")
     return out.drop("kind").unionByName(prose.join(if_small(carried), ["host", "path"], "left_semi").select("place", "item_key", "line_no"))
 
 
 def article_pages(articles: DataFrame) -> DataFrame:
     host = F.coalesce("site", F.lit(""))
-    return articles.select(F.lit("article").alias("place"), F.col("basename").alias("item_key"), host.alias("host"), F.array(F.struct("title", host.alias("host"))).alias("titles"), F.col("page_text").alias("text"))
+    return articles.select(F.lit("article").alias("place"), F.col("basename").alias("item_key"), host.alias("host"), F.to_json(F.array(F.struct("title", host.alias("host")))).alias("titles"), F.col("page_text").alias("text"))
 
 
 def context_pages(samples: DataFrame, articles: DataFrame) -> DataFrame:
     """Contexts with the titles and hosts of the articles that they name."""
     named = samples.select("sample_id", F.explode("relevant_web_articles").alias("basename"))
     known = articles.where("title is not null").select("basename", "title", F.coalesce("site", F.lit("")).alias("host"))
-    titles = named.join(known, "basename").groupBy("sample_id").agg(F.array_sort(F.collect_set(F.struct("title", "host"))).alias("titles"))  # as many as a sample names
-    c = samples.select("sample_id", F.col("context").alias("text")).join(titles, "sample_id", "left")
+    titles = named.join(known, "basename").groupBy("sample_id").agg(F.to_json(F.array_sort(F.collect_set(F.struct("title", "host")))).alias("titles"))  # as many as a sample names
+    c = samples.select("sample_id", F.col("context").alias("text")).join(if_small(titles), "sample_id", "left")
     return c.select(F.lit("context").alias("place"), F.col("sample_id").cast("string").alias("item_key"), F.lit("").alias("host"), "titles", "text")
 
 

@@ -140,7 +140,8 @@ def similar_classes(sets: DataFrame, threshold: float = THRESHOLD, bucket_rows:
         def close() -> list[tuple[str, str]]:
             if key is None or len(a) + len(b) < 2:
                 return []
-            return join_group(key[0], a, None if key[1] == key[2] else b, threshold)
+            x, y = ([(c, t.tolist()) for c, t in side] for side in (a, b))
+            return join_group(key[0], x, None if key[1] == key[2] else y, threshold)
 
         for pdf in batches:
             out: list[tuple[str, str]] = []
@@ -148,7 +149,7 @@ def similar_classes(sets: DataFrame, threshold: float = THRESHOLD, bucket_rows:
                 if (bucket, ga, gb) != key:
                     out += close()
                     key, a, b = (bucket, ga, gb), [], []
-                (a if mine == ga else b).append((cls, list(toks)))
+                (a if mine == ga else b).append((cls, toks))
             yield pd.DataFrame(out, columns=["cls_a", "cls_b"])
         yield pd.DataFrame(close(), columns=["cls_a", "cls_b"])
 

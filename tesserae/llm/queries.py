@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm import boilerplate, leakage, near_dup, packing, pairs, sentences, splitting, truncation
@@ -51,6 +51,20 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_texts(table(spark, d, "merged_samples").select("sample_id", "context"), "sample_id", "context")
 
 
+def p5_put_together(spark: SparkSession, d: str) -> DataFrame:
+    """Of every divided context: whether its pieces, less their overlaps, are the context, none is too long, and each overlaps the one before by 200 characters."""
+    p = p5_pieces(spark, d)
+    before = F.lag("end").over(Window.partitionBy("sample_id").orderBy("piece"))
+    own = p.withColumn("_b", before).withColumn("own", F.expr("substring(text, cast(coalesce(_b - start, 0) as int) + 1)"))
+    g = own.groupBy("sample_id").agg(
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "own"))), lambda x: x["own"]), "")).alias("whole"),
+        F.bool_and(F.char_length("text") <= 4000).alias("short"),
+        F.bool_and(F.coalesce(F.col("_b") - F.col("start") == 200, F.lit(True))).alias("overlap"),
+        F.bool_and((F.col("piece") > 0) | (F.col("start") == 0)).alias("begins"),
+    )
+    return g.select("sample_id", "whole", "short", "overlap", "begins")
+
+
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     articles = table(spark, d, "articles")
     samples = table(spark, d, "merged_samples").select("sample_id", "relevant_web_articles", "context")
@@ -73,6 +87,16 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(packing.pack(table(spark, d, "documents").select("doc_id", "text")))
 
 
+def p7_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with a text, rows placed whole, containers over their capacity, and texts divided without need."""
+    p = packing.pack(table(spark, d, "documents").select("doc_id", "text")).where("container_id is not null")
+    full = p.groupBy("container_id", "capacity").agg(F.sum("n_tokens").alias("t")).agg(F.count_if(F.col("t") > F.least(F.col("capacity"), F.lit(packing.CAPACITY))).alias("n_over"))
+    docs = p.groupBy("doc_id").agg(F.count("*").alias("k"), F.sum("n_tokens").alias("t"), F.max("piece").alias("m")).agg(
+        F.count("*").alias("n_docs"), F.count_if(F.col("k") == F.col("m") + 1).alias("n_whole"), F.count_if((F.col("k") > 1) & (F.col("t") <= packing.CAPACITY)).alias("n_needless")
+    )
+    return docs.withColumn("_k", F.lit(0)).join(full.withColumn("_k", F.lit(0)), "_k").drop("_k")  # one row each
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "test_items").select("item_id", "item_text"))
 
@@ -88,7 +112,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (p1_found, p1_defect_counts, p3_found, p3_groups, p4_found, p4_share, p5_found, p5_pieces, p6_found, p6_bodies, p7_containers, p7_fill, p8_found, p8_report, p9_found)
+        for f in (p1_found, p1_defect_counts, p3_found, p3_groups, p4_found, p4_share, p5_found, p5_pieces, p5_put_together, p6_found, p6_bodies, p7_containers, p7_fill, p7_kept, p8_found, p8_report, p9_found)
     }
 
 
@@ -112,6 +136,8 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": rf"""
             SELECT sample_id, CASE WHEN {longest(r"\r?\n([ \t\r]*\n)+")} THEN 'paragraph' WHEN {longest(r"\r?\n")} THEN 'line' WHEN {longest(r"[ \t\r\n]+")} THEN 'space' ELSE 'none' END AS boundary
             FROM merged_samples WHERE length(context) > 4000""",
+        "p5_put_together": "SELECT sample_id, md5(context) AS whole, true AS short, true AS overlap, true AS begins FROM merged_samples WHERE length(context) > 4000",
+        "p7_kept": "SELECT count(*) AS n_docs, count(*) AS n_whole, 0::BIGINT AS n_needless, 0::BIGINT AS n_over FROM documents WHERE text <> ''",
         "p8_found": f"WITH {_GRAMS} SELECT doc_id, item_id FROM found",
         "p8_report": f"WITH {_GRAMS}, n AS (SELECT item_id, count(*) AS n_docs FROM found GROUP BY item_id) SELECT item_id, task, coalesce(n_docs, 0) AS n_docs FROM test_items LEFT JOIN n USING (item_id)",
     }

@@ -330,7 +330,7 @@ def page(i, lead="The old mill at Nordhaven was finished in 1901"):
 
 def test_furniture_lines(spark):
     rows = [("article", f"p{i}", "h1" if i % 3 else f"solo{i}", f"Nordhaven Mills {chr(65 + i % 26)}x" if i % 2 else None, page(i)) for i in range(12)] + [("article", "n", None, None, None), ("article", "e", "h1", None, ""), ("article", "p0", "h1", None, page(0))]
-    df = spark.createDataFrame(rows, "place string, item_key string, host string, title string, text string").withColumn("host", F.coalesce("host", F.lit(""))).withColumn("titles", F.array(F.struct("title", "host"))).withColumn("score", F.lit("x")).withColumn("path", F.lit(1))
+    df = spark.createDataFrame(rows, "place string, item_key string, host string, title string, text string").withColumn("host", F.coalesce("host", F.lit(""))).withColumn("titles", F.to_json(F.array(F.struct("title", "host")))).withColumn("score", F.lit("x")).withColumn("path", F.lit(1))
     got = {}
     for r in boilerplate.furniture_lines(df).distinct().collect():
         got.setdefault(r.item_key, set()).add(r.line_no)
