@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.session import spread
+from tesserae.session import cut_lineage, if_small, spread
 
 RUN = 12
 SHINGLE = 5
-BROADCAST_ROWS = 200_000  # item signatures, at most, that are sent to every task; beyond, signatures are joined
-BROADCAST_CHARS = 20_000_000  # and characters of item text
+BROADCAST_ROWS = 20_000  # items, at most, that are sent to every task; beyond, signatures are joined
+BROADCAST_CHARS = 4_000_000  # and characters of item text
 WORD = re.compile(r"[^\W_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PART_CHARS = 1 << 20  # a longer document is searched in parts of that many characters, which overlap
@@ -89,7 +89,7 @@ def parts(docs: DataFrame, key: str, text: str) -> DataFrame:
     n = F.char_length(text)
     step = PART_CHARS // 2
     starts = F.when(n <= PART_CHARS, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.greatest(n - step - 1, F.lit(0)), F.lit(step)))
-    return docs.where(F.col(text).isNotNull()).select(key, text, F.explode(starts).alias("_s")).select(key, F.when(F.char_length(text) <= PART_CHARS, F.col(text)).otherwise(F.col(text).substr(F.col("_s") + 1, F.lit(PART_CHARS))).alias("t"))
+    return docs.where(F.col(text).isNotNull()).select(key, text, F.posexplode(starts).alias("part", "_s")).select(key, "part", F.when(F.char_length(text) <= PART_CHARS, F.col(text)).otherwise(F.col(text).substr(F.col("_s") + 1, F.lit(PART_CHARS))).alias("t"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "item_text", run: int = RUN, shingle: int = SHINGLE) -> DataFrame:
@@ -97,7 +97,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
     Null and empty texts, and texts of fewer than run words, match nothing. Repeated documents each come out. Items that
     are few and short (both checked) go to every task, and the documents are neither shuffled nor sorted; otherwise
-    signatures are joined and only candidate pairs are read again.
+    signatures are joined: of the documents only the signatures that some item has, then of each document that has any
+    the words around these, which are held against the words around the item's. No text is paired with another.
     """
     spark = docs.sparkSession
     it = items.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), F.col(item_text).alias("item_text"))
@@ -131,29 +132,39 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             cache: dict[str, int] = {}
             for b in batches:
                 out = []
-                for k, t in zip(b["k"].tolist(), b["t"].tolist(), strict=True):
+                for k, part, t in zip(b["k"].tolist(), b["part"].tolist(), b["t"].tolist(), strict=True):
                     _, h = window_minima(WORD.findall(t.lower()), run, shingle, cache)
-                    out += [(k, x) for x in set(h.astype(np.int64).tolist())]
-                yield pd.DataFrame(out, columns=["k", "x"])
+                    out += [(k, part, x) for x in set(h.astype(np.int64).tolist())]
+                yield pd.DataFrame(out, columns=["k", "part", "x"])
 
-        ds = d.select(F.col(key).alias("k"), "t").mapInPandas(sign, f"k {key_kind}, x bigint").withColumnRenamed("k", "doc")
-        qs = it.select(F.col("item").alias("k"), F.col("item_text").alias("t")).mapInPandas(sign, f"k {kind}, x bigint").withColumnRenamed("k", "item")
-        pairs = ds.join(qs, "x").select("doc", "item").distinct()
-
-        def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cache: dict[str, int] = {}
             for b in batches:
                 out = []
-                for doc, t, i, q in zip(*(b[c].tolist() for c in ("doc", "t", "item", "item_text")), strict=True):
-                    words, sigs = item_table([(0, q)], run, shingle)
+                for k, t, xs in zip(b["k"].tolist(), b["t"].tolist(), b["xs"].tolist(), strict=True):
                     w = WORD.findall(t.lower())
                     at, h = window_minima(w, run, shingle, cache)
-                    if any(shared_run(w, p, words[0], y, run) for p, x in zip(at.tolist(), h.tolist(), strict=True) for _, y in sigs.get(x, ())):
-                        out.append((doc, i))
-                yield pd.DataFrame(out, columns=[key, item])
-
-        both = pairs.join(d.withColumnRenamed(key, "doc"), "doc").join(it, "item").select("doc", "t", "item", "item_text")
-        found = both.mapInPandas(verify, f"{key} {key_kind}, {item} {kind}")
+                    wanted = None if xs is None else set(xs)
+                    for p, x in zip(at.tolist(), h.astype(np.int64).tolist(), strict=True):
+                        if wanted is None or x in wanted:
+                            a = max(0, p - run + 1)
+                            out.append((k, x, p - a, " ".join(w[a : p + run])))
+                yield pd.DataFrame(out, columns=["k", "x", "p", "w"])
+
+        def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = zip(*(b[c].tolist() for c in ("doc", "item", "dp", "dw", "ip", "iw")), strict=True)
+                out = {(d_, i) for d_, i, dp, dw, ip, iw in rows if shared_run(dw.split(" "), dp, iw.split(" "), ip, run)}
+                yield pd.DataFrame(list(out), columns=[key, item])
+
+        every = d.select(F.col(key).alias("k"), "part", "t")
+        qs = it.select(F.col("item").alias("k"), F.col("item_text").alias("t"), F.lit(None).cast("array<bigint>").alias("xs")).mapInPandas(around, f"k {kind}, x bigint, p int, w string")
+        qs = cut_lineage(qs.select(F.col("k").alias("item"), "x", F.col("p").alias("ip"), F.col("w").alias("iw")))
+        met = every.mapInPandas(sign, f"k {key_kind}, part int, x bigint").join(if_small(qs.select("x").distinct()), "x", "left_semi")
+        met = met.groupBy("k", "part").agg(F.collect_set("x").alias("xs"))  # of one part of a document, so bounded
+        ds = every.join(met, ["k", "part"]).select("k", "t", "xs").mapInPandas(around, f"k {key_kind}, x bigint, p int, w string")
+        both = ds.select(F.col("k").alias("doc"), "x", F.col("p").alias("dp"), F.col("w").alias("dw")).join(qs, "x")
+        found = both.select("doc", "item", "dp", "dw", "ip", "iw").mapInPandas(compare, f"{key} {key_kind}, {item} {kind}")
     return found.distinct()
 
 
