@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.session import if_small
+
 K1, B, DELTA = 1.5, 0.75, 1.5
 BETWEEN = r"[^\p{L}\p{N}_]+"  # what stands between tokens; splitting is linear, extracting all matches copies the text for each
 
@@ -25,7 +27,8 @@ def bm25(chunks: DataFrame, queries: DataFrame, corpus: str | None = None, k1: f
 
     chunks: chunk_id, text [, corpus]; queries: query_id, text. Without a corpus column every query is held against all
     chunks; with one, query_id is the corpus, and N, df and the mean length are the corpus's own. Term frequencies are
-    counted before the shuffle only for terms that some query has; a null text has no term.
+    counted before the shuffle only for terms that some query has; a null text has no term. The queries' words and their
+    frequencies go to every task if they are few (checked), so that no frequent word is a join key.
     """
     own = [corpus] if corpus else []
     q = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
@@ -40,10 +43,10 @@ def bm25(chunks: DataFrame, queries: DataFrame, corpus: str | None = None, k1: f
         df = tf.groupBy(corpus, "term").agg(F.count("*").alias("df"))
         m = tf.join(df, [corpus, "term"]).join(stats, corpus).withColumn("query_id", F.col(corpus))
     else:
-        tf = terms.join(q.select("term").distinct(), "term", "left_semi").groupBy("chunk_id", "n_tokens", "term").agg(F.count("*").alias("tf"))
+        tf = terms.join(if_small(q.select("term").distinct()), "term", "left_semi").groupBy("chunk_id", "n_tokens", "term").agg(F.count("*").alias("tf"))
         df = tf.groupBy("term").agg(F.count("*").alias("df"))
         total = stats.first()
-        m = tf.join(df, "term").join(q, "term").withColumns({"_n": F.lit(total["_n"]), "_avg": F.lit(total["_avg"])})
+        m = tf.join(if_small(df), "term").join(if_small(q.select("term", F.col("query_id"))), "term").withColumns({"_n": F.lit(total["_n"]), "_avg": F.lit(total["_avg"])})
     idf = F.log((F.col("_n") + 1) / F.col("df"))
     part = idf * (delta + F.col("tf") * (k1 + 1) / (k1 * (1 - b + b * F.col("n_tokens") / F.col("_avg")) + F.col("tf")))
     return m.withColumn("_p", part).groupBy("query_id", "chunk_id", "n_tokens").agg(F.round(F.sum("_p"), 6).alias("score"))
