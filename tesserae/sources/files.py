@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tesserae.session import cut_lineage
+
 # Schemas of the record files.
 METADATA = "struct<caption: string, header_levels: array<string>, footer_info: array<string>, page_title: string, section_title: string, hatnote: string, references_content: string>"
 PAGE = "struct<page_title: string, page_summary: string, page_url: string, page_id: bigint, revision_id: bigint, parent_id: bigint>"
@@ -25,7 +27,7 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> tuple[Da
     """(records, rejected lines): blank lines and empty objects are skipped, malformed lines set aside. A .json file is one array."""
     s = T._parse_datatype_string(schema) if hasattr(T, "_parse_datatype_string") else spark.createDataFrame([], schema).schema
     full = T.StructType([*s.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(full).option("mode", "PERMISSIVE").option("multiLine", str(path.endswith(".json")).lower()).json(path).cache()
+    raw = cut_lineage(spark.read.schema(full).option("mode", "PERMISSIVE").option("multiLine", str(path.endswith(".json")).lower()).json(path))  # read once for both results
     some = F.greatest(*(F.col(f"`{n}`").isNotNull().cast("int") for n in s.names), F.lit(0)) == 1
     return raw.where(F.col("_corrupt_record").isNull() & some).drop("_corrupt_record"), raw.where(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("line"))
 
